@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import table
 
-#: Words a worker remembers before it starts afresh.
-CACHE_WORDS = 500_000
+#: Words a worker remembers before it starts afresh, and documents it splits at once.
+CACHE_WORDS = 1_000_000
+DOCS_AT_ONCE = 64
 #: Times the tied bigram of a repeated word counts, about as often as a word has features of its own.
 TIED = 8
 
@@ -43,28 +44,41 @@ class Params:
     threshold: float = 0.7
 
 
-def features(word: str, p: Params) -> list[int]:
-    """Buckets of the word and of its character n-grams, boundaries marked; long words in full."""
-    marked = f"<{word}>"
-    out = [zlib.crc32(marked.encode("utf-8", "surrogatepass")) % p.buckets]
-    raw = [c.encode("utf-8", "surrogatepass") for c in marked]
-    for n in range(p.min_n, min(p.max_n, len(raw) - 1) + 1):
-        out += [zlib.crc32(b"".join(raw[i : i + n]), n) % p.buckets for i in range(len(raw) - n + 1)]
-    return out
+def features(words: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``words``, bucket) of each word and of each of its character n-grams, boundaries marked."""
+    marked = [f"<{w.decode('utf-8', 'surrogatepass')}>" for w in words]
+    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4")
+    of = np.repeat(np.arange(len(words)), np.fromiter(map(len, marked), np.int64, len(words)))
+    places, buckets, h = [np.arange(len(words))], [np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % p.buckets], chars
+    for n in range(2, p.max_n + 1):
+        h = h[:-1] * np.uint32(0x9E3779B1) + chars[n - 1 :]  # of the n characters from here on
+        if n >= p.min_n:
+            inside = of[: len(h)] == of[n - 1 :]
+            x = h[inside] ^ np.uint32(n)
+            x = (x ^ (x >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+            places.append(of[: len(h)][inside])
+            buckets.append(((x ^ (x >> np.uint32(13))) % np.uint32(p.buckets)).astype(np.int64))
+    return np.concatenate(places), np.concatenate(buckets)
 
 
 class Words(dict):
-    """word -> a value of it, computed at its first sight."""
+    """Word -> a value of it; ``learn`` gets the values of many new words at once."""
 
-    def __init__(self, value):
+    def __init__(self, values):
         super().__init__()
-        self.value = value
+        self.values_of = values
 
-    def __missing__(self, word: str):
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        out = self[word] = self.value(word)
-        return out
+    def lookup(self, texts: list[str | None]) -> Iterator[tuple[list[bytes], list]]:
+        """Each text's words and their values."""
+        for at in range(0, len(texts), DOCS_AT_ONCE):
+            each = [split(t) for t in texts[at : at + DOCS_AT_ONCE]]
+            seen = set().union(*each)
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            if new := list(seen - self.keys()):
+                self.update(zip(new, self.values_of(new)))
+            for ws in each:
+                yield ws, map(self.__getitem__, ws)
 
 
 def split(text: str | None) -> list[bytes]:
@@ -81,12 +95,16 @@ def fit(texts: list[str | None], classes: np.ndarray, p: Params) -> tuple[np.nda
     """Bucket vectors, layer and bias after ``epochs`` passes of SGD with a linearly falling rate.
 
     The classes weigh alike, however unequal their numbers."""
-    known = Words(lambda w: features(w.decode("utf-8", "surrogatepass"), p))
+
+    def buckets(new: list[bytes]) -> list[np.ndarray]:
+        place, at = features(new, p)
+        order = np.argsort(place, kind="stable")
+        return np.split(at[order], np.searchsorted(place[order], np.arange(1, len(new))))
+
     docs = []
-    for t in texts:
-        ws = split(t)
-        ids = [i for w in ws for i in known[w]] + [p.buckets] * (TIED * repeats(ws))
-        at, n = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
+    for ws, ids in Words(buckets).lookup(texts):
+        ids = np.concatenate([*ids, np.full(TIED * repeats(ws), p.buckets)])
+        at, n = np.unique(ids.astype(np.int64), return_counts=True)
         docs.append((at, (n / max(1, n.sum())).astype(np.float32)))
     rng = np.random.default_rng(p.seed)
     vectors = rng.uniform(-1 / p.dim, 1 / p.dim, (p.buckets + 1, p.dim)).astype(np.float32)
@@ -141,14 +159,14 @@ def scorer(df: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray], p: P
         if not state:
             pull, base = sent.value
 
-            def value(word: bytes) -> complex:  # real: sum of pulls, imaginary: number of features
-                at = features(word.decode("utf-8", "surrogatepass"), p)
-                return complex(pull[at].sum(), len(at))
+            def values(new: list[bytes]) -> list[complex]:  # real: sum of pulls, imaginary: number of features
+                place, at = features(new, p)
+                return (np.bincount(place, pull[at], len(new)) + 1j * np.bincount(place, None, len(new))).tolist()
 
-            state.update(known=Words(value), base=base, tied=TIED * complex(pull[p.buckets], 1))
-        get, base, tied, out = state["known"].__getitem__, state["base"], state["tied"], np.empty(len(texts))
-        for i, t in enumerate(texts):
-            total = sum(map(get, ws := split(t)), tied * repeats(ws))
+            state.update(known=Words(values), base=base, tied=TIED * complex(pull[p.buckets], 1))
+        base, tied, out = state["base"], state["tied"], np.empty(len(texts))
+        for i, (ws, found) in enumerate(state["known"].lookup(texts.tolist())):
+            total = sum(found, tied * repeats(ws))
             z = base + (total.real / total.imag if total.imag else 0.0)
             out[i] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         return pd.Series(out)
