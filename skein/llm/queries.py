@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import quality_classifier
+from skein.llm import minhash, mixing, packing, quality_classifier, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_classifier": quality_classifier.op2,
+        "op4_quality_rules": quality_rules.op4,
+        "op5_minhash_dedup": minhash.op5,
+        "op8_mix_sources": mixing.op8,
+        "op10_best_fit_packing": packing.op10,
     }
 
 
