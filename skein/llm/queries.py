@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import minhash, mixing, packing, quality_classifier, quality_rules
+from skein.llm import html_extract, minhash, mixing, packing, quality_classifier, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_classifier": quality_classifier.op2,
         "op4_quality_rules": quality_rules.op4,
         "op5_minhash_dedup": minhash.op5,
+        "op6_html_extract": html_extract.op6,
         "op8_mix_sources": mixing.op8,
         "op10_best_fit_packing": packing.op10,
     }
