@@ -6,19 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import html_extract, minhash, mixing, packing, quality_classifier, quality_rules
+from skein.llm import embedding_dedup, html_extract, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_dedup": embedding_dedup.op1,
         "op2_quality_classifier": quality_classifier.op2,
         "op4_quality_rules": quality_rules.op4,
         "op5_minhash_dedup": minhash.op5,
         "op6_html_extract": html_extract.op6,
+        "op7_line_dedup": line_dedup.op7,
         "op8_mix_sources": mixing.op8,
+        "op9_url_filter": url_filter.op9,
         "op10_best_fit_packing": packing.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_url_filter": url_filter.SQL}
