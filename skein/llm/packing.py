@@ -12,21 +12,25 @@ are sets of one, two and three pieces; what is left is packed best fit, longest
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.common import table
 
-#: Words a worker remembers before it starts afresh, and documents it splits at once.
+#: Words a worker remembers before it starts afresh.
 CACHE_WORDS = 1_000_000
-DOCS_AT_ONCE = 64
+#: Latin without combining marks, white space and the one capital whose lower case has two characters.
+SIMPLE = regex.compile(r"(?!.*<\|)[!-~\xa1-\u012f\u0131-\u024f]+").fullmatch
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -40,38 +44,59 @@ class Params:
     passes: int = 4
 
 
+class Tokens(dict):
+    """Lower-cased pre-token -> its ids as little-endian 32-bit bytes."""
+
+    def __init__(self, tokenize):
+        super().__init__()
+        self.tokenize = tokenize
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that the byte level writes as themselves
+        self.bytes = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
+
+    def __missing__(self, token: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        own = token if token.isascii() else token.encode().decode("latin-1").translate(self.bytes)
+        ids = [t.id for t in self.tokenize(own)]
+        out = self[token] = pack_ids(f"<{len(ids)}I", *ids)
+        return out
+
+
 class Ids(dict):
-    """Word -> its token ids as little-endian 32-bit bytes.
+    """Word -> its token ids, of a tokenizer that drops white space and never merges across it, so that a text's ids are
+    its words' ids in a row.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row."""
+    A tokenizer's normalizing and alignments cost more than its merges. Words of Latin letters, digits and signs, which
+    normalizing only lower-cases, are therefore split here by the tokenizer's own pattern and go straight to its model;
+    all others, and whatever could hold a special token, go the long way. Tests hold either against the tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
-
-    def learn(self, words: list[str]) -> None:
-        """Encode new words in one call."""
-        if len(self) + len(words) > CACHE_WORDS:
+        self.tokenizer = Tokenizer.from_file(path)
+        steps = json.loads(self.tokenizer.to_str())
+        known = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        pre = (steps["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        known = known and [x["type"] for x in pre] == ["Split", "ByteLevel"] and not pre[1]["add_prefix_space"]
+        self.parts = regex.compile(pre[0]["pattern"]["Regex"]).findall if known else None
+        self.tokens = Tokens(self.tokenizer.model.tokenize)
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
             self.clear()
-        done = self.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids, of = np.array(done.ids, "<u4").tobytes(), np.array(done.word_ids, np.int64)
-        ends = (4 * np.searchsorted(of, np.arange(len(words)), side="right")).tolist()
-        self.update(zip(words, map(ids.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-
-    def of(self, texts: list[str | None]) -> Iterator[bytes]:
-        for at in range(0, len(texts), DOCS_AT_ONCE):
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts[at : at + DOCS_AT_ONCE]]
-            seen = set().union(*split)
-            if new := list(seen - self.keys()):
-                self.learn(new)
-                if len(self) < len(seen):  # it was cleared
-                    self.learn(list(seen - self.keys()))
-            get = self.__getitem__
-            for ws in split:
-                yield b"".join(map(get, ws))
+        if self.parts and (word.isprintable() and "<" not in word if word.isascii() else SIMPLE(word)):
+            low = word.lower()
+            # letters alone are one pre-token: by far the most common case, without the pattern
+            out = self.tokens[low] if low.isalpha() else b"".join(map(self.tokens.__getitem__, self.parts(low)))
+        else:
+            out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = out
+        return out
+
+    def of(self, text: str | None) -> bytes:
+        return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
 def cut_up(docs: DataFrame, p: Params) -> DataFrame:
@@ -83,8 +108,8 @@ def cut_up(docs: DataFrame, p: Params) -> DataFrame:
         end, most = np.array([p.end_id], "<u4").tobytes(), 4 * p.capacity
         for batch in batches:
             rows = []
-            for doc_id, own in zip(batch["doc_id"], ids.of(batch["text"].tolist())):
-                own += end
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                own = ids.of(text) + end
                 rows += [(doc_id, k, at // 4, len(x := own[at : at + most]) // 4, zlib.crc32(x)) for k, at in enumerate(range(0, len(own), most))]
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
