@@ -37,6 +37,8 @@ class Params:
     min_n: int = 2
     max_n: int = 4
     epochs: int = 6
+    #: Few documents are gone through more often, for so many steps at least.
+    steps: int = 16_384
     rate: float = 0.05
     seed: int = 17
     #: Bound on the labelled documents that the model is fitted on, drawn by a hash of the id.
@@ -111,8 +113,9 @@ def fit(texts: list[str | None], classes: np.ndarray, p: Params) -> tuple[np.nda
     layer, bias = np.zeros((2, p.dim), np.float32), np.zeros(2, np.float32)
     per = np.bincount(classes, minlength=2)
     weight = len(classes) / (2 * np.maximum(per, 1))
-    steps, done = max(1, p.epochs * len(docs)), 0
-    for _ in range(p.epochs):
+    epochs = max(p.epochs, -(-p.steps // max(1, len(docs))))
+    steps, done = max(1, epochs * len(docs)), 0
+    for _ in range(epochs if docs else 0):
         for i in rng.permutation(len(docs)):
             (at, share), c = docs[i], classes[i]
             mean = share @ vectors[at]
