@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import embedding_dedup, html_extract, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, url_filter
+from skein.llm import embedding_dedup, html_extract, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_dedup": embedding_dedup.op1,
         "op2_quality_classifier": quality_classifier.op2,
+        "op3_sharding": sharding.op3,
         "op4_quality_rules": quality_rules.op4,
         "op5_minhash_dedup": minhash.op5,
         "op6_html_extract": html_extract.op6,
@@ -24,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filter": url_filter.SQL}
+    return {"op3_sharding": sharding.SQL, "op9_url_filter": url_filter.SQL}
