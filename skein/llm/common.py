@@ -38,5 +38,22 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def boxed(df: DataFrame, *but: str) -> Column:
+    """All columns of ``df`` but some, as one struct: so no helper column can clash with them."""
+    low = {b.lower() for b in but}
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in low))
+
+
+#: Ids up to this number are broadcast (some 16 MB); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def only(rows: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_IDS) -> DataFrame:
+    """The rows whose id is among ``ids`` (one column of that name, counted first). Few ids go to the rows, so that
+    whole texts aren't shuffled to find some of them; many are met by a shuffle."""
+    ids = ids.select(column).distinct()
+    return rows.join(F.broadcast(ids) if ids.count() <= limit else ids, column, "left_semi")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

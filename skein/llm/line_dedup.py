@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import WORD, cut, table
+from skein.llm.common import WORD, boxed, cut, table
 
 
 @dataclass(frozen=True)
@@ -108,18 +108,21 @@ def deletions(docs: DataFrame, p: Params) -> DataFrame:
 def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` with later repeated runs of lines cut out of ``text``, and n_lines and n_deleted besides.
 
-    First is the occurrence of least doc_id (null before all), then row, then line. Null texts stay null and empty ones
-    empty; a text all of whose lines are repeated becomes empty. Runs below both limits stay. Repeated rows are later
-    occurrences of the first of them. An empty table gives no rows; other columns pass through."""
-    numbered = docs.withColumn("row", F.monotonically_increasing_id()) if "row" not in docs.columns else docs.withColumnRenamed("row", "row_of_docs").withColumn("row", F.monotonically_increasing_id())
-    gone = deletions(numbered.select("row", "doc_id", "text"), p)
-    out = numbered.join(gone, "row", "left")
+    First is the occurrence of least doc_id (null before all), then text hash, then line. Null texts stay null and empty
+    ones empty; a text all of whose lines are repeated becomes empty. Runs below both limits stay. Rows alike in id and
+    text are one document and stay alike. An empty table gives no rows; other columns pass through, but for two named
+    n_lines and n_deleted, which are replaced."""
+    # a key that any second reading of the rows gives again; a struct, in which nulls equal each other
+    row = F.struct("doc_id", F.xxhash64("text").alias("h"))
+    rows = docs.select(boxed(docs, "n_lines", "n_deleted").alias("r"), "doc_id", "text", row.alias("row"))
+    gone = deletions(rows.select("row", "doc_id", "text"), p)
+    out = rows.join(gone, "row", "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    out = out.withColumns({"text": text, "n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0)).cast("long"), "n_deleted": F.coalesce(F.size("gone"), F.lit(0)).cast("long")})
-    out = out.drop("row", "gone")
-    return out.withColumnRenamed("row_of_docs", "row") if "row" in docs.columns else out
+    n_lines = F.when(F.col("text").isNotNull(), F.size(lines)).otherwise(0).cast("long")
+    n_deleted = F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(0).cast("long")
+    return out.select(F.col("r").withField("text", text).alias("r"), n_lines.alias("n_lines"), n_deleted.alias("n_deleted")).select("r.*", "n_lines", "n_deleted")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, n_words, table
+from skein.llm.common import boxed, cut, n_words, table
 
 PLAN = "m_source string, m_block int, m_copies array<int>, m_room double, m_last int"
 
@@ -146,17 +146,18 @@ def assign(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """The mixture: a row of ``docs`` (all its columns) for every copy, with m_shard, and m_order for its place there.
+    """The mixture: a row of ``docs`` (all its columns) for every copy, with m_shard, and m_order for its place there; columns
+    of these two names are replaced.
 
     Rows meet their copies by a hash of id, source and text. Of rows alike in these three, one stands for all: it comes
     as often as they are drawn together."""
     drawn = assign(docs, p).filter(F.size("copies") > 0)
     per = drawn.groupBy("m_hash").agg(F.flatten(F.collect_list("copies")).alias("m_copies"))
-    keyed = docs.withColumn("m_hash", F.xxhash64("doc_id", "source", "text", F.lit(p.seed)))
+    keyed = docs.select(boxed(docs, "m_shard", "m_order").alias("r"), F.xxhash64("doc_id", "source", "text", F.lit(p.seed)).alias("m_hash"))
     # rows alike come together as one key, which has the copies of all of them; this is the shuffle that the join uses
     out = keyed.dropDuplicates(["m_hash"]).join(per, "m_hash").select("*", F.posexplode("m_copies").alias("m_at", "m_shard"))
     order = F.xxhash64("m_hash", "m_at", F.lit(p.seed + 1))
-    return out.withColumn("m_order", order).select(*docs.columns, "m_shard", "m_order")
+    return out.select("r.*", "m_shard", order.alias("m_order"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

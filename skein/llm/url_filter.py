@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import table
+from skein.llm.common import boxed, table
 
 #: scheme, optional user, host, optional port, rest
 URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)(?::\d*)?([^?#]*)"
@@ -54,17 +54,24 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     longest path, then first in order) with its start. A null or hostless URL, or a null time, meets no entry. Repeated
     rows are judged each. An empty list blocks nothing; empty captures give no rows."""
     held = intervals(changes)
-    rows = captures.drop("host", "n_entries", "rule", "rule_since", "blocked").withColumn("_row", F.monotonically_increasing_id())
-    slim = rows.select("_row", "fetched", host(F.col("url")).alias("h"), path(F.col("url")).alias("p")).filter("h is not null and fetched is not null")
-    keyed = slim.select("_row", "fetched", "p", F.explode(suffixes(F.col("h"))).alias("entry_host"))
-    # hosts on no list go before anything else; no hint, so that Spark weighs the list's size and splits a hot host
-    met = keyed.join(held, "entry_host").filter((F.col("since") <= F.col("fetched")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))) & F.col("p").startswith(F.col("entry_path")))
+    # each URL and time once, however often it was captured
+    seen = captures.select("url", F.col("fetched").alias("f")).distinct()
+    slim = seen.select("url", "f", host(F.col("url")).alias("h"), path(F.col("url")).alias("p")).filter("h is not null and f is not null")
+    keyed = slim.select("url", "f", "p", F.explode(suffixes(F.col("h"))).alias("entry_host"))
+    # no hint: Spark weighs the list's size and splits a host that very many captures have
+    met = keyed.join(held, "entry_host").filter((F.col("since") <= F.col("f")) & (F.col("until").isNull() | (F.col("f") < F.col("until"))) & F.col("p").startswith(F.col("entry_path")))
     rank = F.struct(-F.length("entry_host"), -F.length("entry_path"), "entry_host", "entry_path", "list_id", "since")
-    best = met.groupBy("_row").agg(F.count("*").alias("n_entries"), F.min(rank).alias("m"))
-    out = rows.join(best, "_row", "left").withColumn("host", host(F.col("url")))
-    rule = F.concat("m.entry_host", "m.entry_path")
-    out = out.withColumns({"n_entries": F.coalesce("n_entries", F.lit(0)).cast("long"), "rule": rule, "rule_since": F.col("m.since"), "blocked": F.col("m").isNotNull()})
-    return out.drop("_row", "m")
+    best = met.groupBy(F.col("url").alias("b_url"), F.col("f").alias("b_f")).agg(F.count("*").alias("n_entries"), F.min(rank).alias("m"))
+    rows = captures.select(boxed(captures, "host", "n_entries", "rule", "rule_since", "blocked").alias("r"))
+    out = rows.join(best, (F.col("r.url") == F.col("b_url")) & (F.col("r.fetched") == F.col("b_f")), "left")
+    return out.select(
+        "r.*",
+        host(F.col("r.url")).alias("host"),
+        F.coalesce("n_entries", F.lit(0)).cast("long").alias("n_entries"),
+        F.concat("m.entry_host", "m.entry_path").alias("rule"),
+        F.col("m.since").alias("rule_since"),
+        F.col("m").isNotNull().alias("blocked"),
+    )
 
 
 def _day(n: Column) -> Column:
