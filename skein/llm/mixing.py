@@ -101,18 +101,42 @@ def plan(stats: list, p: Params) -> tuple[list, dict[str | None, int], dict[str
     return list(rows.values()), sizes, goal
 
 
-def fill(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one block, the documents that fill ``m_room`` words: in hashed order what still fits, then one more if that
-    comes nearer."""
-    rows = rows.sort_values("m_hash", kind="stable")
-    room, takes = float(rows["m_room"].iloc[0]), np.zeros(len(rows), bool)
-    sizes = rows["size"].to_numpy()
+def near(sizes: np.ndarray, room: float) -> tuple[float, np.ndarray]:
+    """What is left of ``room`` (over it: negative), and which sizes fill it: in the order given what still fits, then
+    as long as that comes nearer the best change of one, put in, taken out or exchanged for another."""
+    takes = np.zeros(len(sizes), bool)
     for i, n in enumerate(sizes):
         if 0 < n <= room:
             takes[i], room = True, room - n
-    rest = np.flatnonzero(~takes & (sizes > 0))
-    if len(rest) and abs(room - sizes[i := rest[np.argmin(sizes[rest])]]) < room:
-        takes[i] = True
+    for _ in range(8):
+        inside, outside = np.append(np.flatnonzero(takes), -1), np.append(np.flatnonzero(~takes & (sizes > 0)), -1)  # -1: none
+        out = np.where(inside >= 0, sizes[inside], 0)
+        order = outside[np.argsort(np.where(outside >= 0, sizes[outside], 0), kind="stable")]
+        into = np.where(order >= 0, sizes[order], 0)
+        # for each one taken out, the one to put in of the nearest size from below and from above
+        at = np.clip(np.searchsorted(into, out + room)[:, None] + np.array([-1, 0]), 0, len(into) - 1)
+        left = np.abs(room + out[:, None] - into[at])
+        k = np.unravel_index(np.argmin(left), left.shape)
+        if left[k] >= abs(room):
+            break
+        room += out[k[0]] - into[at[k]]
+        for i, mark in ((inside[k[0]], False), (order[at[k]], True)):
+            if i >= 0:
+                takes[i] = mark
+    return room, takes
+
+
+def fill(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one block, the documents that fill ``m_room`` words: in hashed order, or, where that leaves over a hundredth
+    of it and the longest first come nearer, in that one."""
+    rows = rows.sort_values("m_hash", kind="stable")
+    sizes, room = rows["size"].to_numpy(), float(rows["m_room"].iloc[0])
+    left, takes = near(sizes, room)
+    if abs(left) > room / 100:
+        order = np.argsort(-sizes, kind="stable")
+        less, other = near(sizes[order], room)
+        if abs(less) < abs(left):
+            takes[order] = other
     return rows.assign(m_takes=takes)
 
 

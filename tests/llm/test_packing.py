@@ -1,0 +1,126 @@
+"""Operator 10: ids against the tokenizer, packings against bounds and the best possible."""
+
+import random
+import zlib
+from functools import cache
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from skein.llm import packing as p
+
+IDS, WHOLE = p.Ids(p.word_bpe()), Tokenizer.from_file(p.word_bpe())
+
+
+def whole(text):
+    return WHOLE.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=5), st.sampled_from(["<|endoftext|>", "<|", "|>", "'LL", "H̱", "ẖ", "İ", "Σς", "ß", "\xa0", "\x85", " ", "\n", "\t", "中文", "é", "K", "９"]))).map("".join))
+def test_ids_are_the_tokenizers(text):
+    assert np.frombuffer(IDS.of(text), "<u4").tolist() == whole(text)
+
+
+def check(lengths, capacity):
+    place, offset = p.pack(np.array(lengths, np.int64), capacity)
+    used = {}
+    for k, o, n in sorted(zip(place.tolist(), offset.tolist(), lengths)):
+        assert o == used.get(k, 0)
+        used[k] = o + n
+    assert all(v <= capacity for v in used.values()) and len(used) >= -(-sum(lengths) // capacity)
+    return len(used)
+
+
+def least(lengths, capacity):
+    """Fewest sequences, by trying all."""
+
+    @cache
+    def go(rest):
+        if not rest:
+            return 0
+        first, others = rest[0], rest[1:]
+        best = len(rest)
+        for mask in range(1 << len(others)):
+            chosen = [w for i, w in enumerate(others) if mask >> i & 1]
+            if first + sum(chosen) <= capacity:
+                best = min(best, 1 + go(tuple(w for i, w in enumerate(others) if not mask >> i & 1)))
+        return best
+
+    return go(tuple(sorted(lengths, reverse=True)))
+
+
+def test_dominance_keeps_the_best_possible():
+    """Whatever the reduction fixes, the rest packed at best is still as good as the whole packed at best."""
+    rng = random.Random(9)
+    for _ in range(150):
+        c = rng.choice([10, 20, 50])
+        lengths = [rng.randint(max(1, c // 6), c) for _ in range(rng.randint(1, 8))]
+        best = least(lengths, c)
+        bag = p.Bag(np.array(lengths), c)
+        w = bag.largest(c)
+        while w:
+            j = bag.take(w)
+            partners = p.dominating(bag, c - w)
+            if partners is None:
+                bag.give(w, j)
+                w = bag.largest(w - 1)
+                continue
+            for x in partners:
+                bag.take(x)
+            rest = [k for k in range(c + 1) for _ in bag.items[k]]
+            assert 1 + least(rest, c) == best
+            lengths, best, w = rest, best - 1, bag.largest(c)
+        assert check(lengths, c) >= best if lengths else True
+
+
+def test_packings_are_tight():
+    rng = random.Random(1)
+    makes = {1.03: lambda: rng.randint(1, 2048), 1.01: lambda: min(2048, int(rng.paretovariate(1) * 40)), 1.1: lambda: rng.randint(500, 1100)}
+    for over, make in makes.items():
+        lengths = [make() for _ in range(4000)]
+        big = sum(1 for n in lengths if n > 1024)
+        n = check(lengths, 2048)
+        assert n <= max(-(-sum(lengths) // 2048), big) * over + 1
+    assert check([2048] * 5, 2048) == 5 and check([1], 2048) == 1 and check([], 2048) == 0
+    assert check([1000] * 10 + [1048] * 10, 2048) == 10
+
+
+def test_query(spark, sf_dir):
+    rows = p.op10(spark, sf_dir).collect()
+    docs = {d.doc_id: d.text for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    verify(rows, docs.items(), 2048)
+    assert len({r.sequence_id for r in rows}) <= 1.01 * (sum(r["length"] for r in rows) / 2048) + 1
+
+
+def verify(rows, docs, capacity):
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+    n = 0
+    for i, text in docs:
+        ids = [*whole(text or ""), 0]
+        for r in pieces[i]:
+            own = ids[r.start : r.start + r["length"]]
+            assert r.start == r.piece * capacity and len(own) == r["length"] == min(capacity, len(ids) - r.start)
+            assert r.ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes())
+            n += 1
+        assert len({r.piece for r in pieces[i]}) == -(-len(ids) // capacity)
+    assert n >= len(rows)
+    end = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == end.get(r.sequence_id, 0)
+        end[r.sequence_id] = r.offset + r["length"]
+    assert max(end.values(), default=0) <= capacity
+
+
+def test_edges(spark):
+    docs = [(1, None), (2, ""), (3, "word " * 10_000), (4, " \n "), (5, "<|endoftext|> É"), (None, "null id")]
+    df = spark.createDataFrame([(i, t, 0, 0) for i, t in docs], "doc_id long, text string, g int, length int")
+    out = p.best_fit(df, p.Params(p.word_bpe(), capacity=64, group=2))
+    verify(out.collect(), docs, 64)
+    twice = p.best_fit(df.union(df), p.Params(p.word_bpe(), capacity=64)).collect()
+    assert len(twice) == 2 * out.count()
+    assert p.best_fit(df.limit(0), p.Params(p.word_bpe())).count() == 0
