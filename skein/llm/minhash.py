@@ -2,14 +2,16 @@
 
 1. A document's set of word shingles becomes a fingerprint and a MinHash signature; equal sets are one class, whose
    smallest id stands for it from here on.
-2. Bands of the signature form buckets. Instead of all pairs of a bucket, each member is held against the bucket's
-   smallest member.
+2. Bands of the signature form buckets. Instead of all pairs of a bucket, each member is held against the bucket's hub:
+   the member that shares most buckets with others, which in a group of near copies is the text they come from.
 3. Candidates are compared by batches of signature positions. After each batch the posterior probability of a
    similarity at or over the threshold, under a uniform prior, is bounded from below by ``miss``; pairs under it go.
 4. Survivors are verified exactly on the full sets of both texts.
-5. Buckets whose members are then still in different components are gone through again, in tiles of bounded size:
-   first the best survivor of every member and foreign component, then every survivor that is left. So a bucket costs
-   pairs only where it joins what isn't joined already, and no link between components is lost.
+5. Buckets whose members are then still in different components are gone through in tiles of bounded size: each pair of
+   different components is compared in the first bucket that it shares, and verified there and then. Only links leave a
+   tile, and no link between components is lost.
+
+Texts of sizes that rule the threshold out are never compared.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, table
+from skein.llm.common import cut, only, table
 from skein.llm.components import components
 
 CACHE_WORDS = 500_000
@@ -36,14 +38,14 @@ class Params:
     words: int = 5
     #: Similarity threshold in per cent.
     percent: int = 80
-    bands: int = 25
-    rows: int = 5
-    batch: int = 25
+    bands: int = 30
+    rows: int = 6
+    batch: int = 30
     #: Chosen probability that pruning drops a pair at or over the threshold.
     miss: float = 1e-4
     seed: int = 5
     #: Members of a bucket in one tile.
-    tile: int = 256
+    tile: int = 512
 
     @property
     def size(self) -> int:
@@ -85,12 +87,12 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 def signature(s: np.ndarray, p: Params) -> np.ndarray:
-    """MinHash values, 32 bits each, of a non-empty set."""
+    """MinHash values of a non-empty set, their low 16 bits each."""
     a, b = _functions(p.size, p.seed)
     x, out = (s >> np.uint64(32)).astype(np.uint32), np.full(p.size, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 4096):  # bounded memory for a text of any length
         np.minimum(out, (a * x[None, at : at + 4096] + b).min(axis=1), out=out)
-    return out
+    return (out ^ (out >> np.uint32(16))).astype(np.uint16)
 
 
 @cache
@@ -99,14 +101,19 @@ def _functions(k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 32, (k, 1), np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, (k, 1), np.uint32)
 
 
-def band_keys(sig: np.ndarray, p: Params) -> np.ndarray:
-    rows = sig.reshape(p.bands, p.rows).astype(np.uint64)
-    out = _mix(np.arange(1, p.bands + 1, dtype=np.uint64) * _MIX)
+def band_keys(sigs: np.ndarray, p: Params) -> np.ndarray:
+    """Keys by (signature, band)."""
+    rows = sigs.reshape(-1, p.bands, p.rows).astype(np.uint64)
+    out = np.broadcast_to(_mix(np.arange(1, p.bands + 1, dtype=np.uint64) * _MIX), rows.shape[:2])
     for k in range(p.rows):
-        out = _mix(out * _MIX + rows[:, k])
+        out = _mix(out * _MIX + rows[:, :, k])
     return out.view(np.int64)
 
 
+def grid(sigs, p: Params) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, p.size)
+
+
 @cache
 def least_matches(p: Params) -> tuple[int, ...]:
     """For each number of compared positions after a batch, the fewest matches that keep a pair.
@@ -121,15 +128,15 @@ def least_matches(p: Params) -> tuple[int, ...]:
     return tuple(out)
 
 
-def likely(x: np.ndarray, y: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of signatures: indices of the pairs that outlast all batches, and their matches."""
+def likely(x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
+    """For rows of signatures: indices of the pairs that outlast all batches."""
     at, same = np.arange(len(x)), np.zeros(len(x), np.int32)
     for k, least in enumerate(least_matches(p)):
         cols = slice(k * p.batch, (k + 1) * p.batch)
         same = same + (x[at, cols] == y[at, cols]).sum(axis=1, dtype=np.int32)
         stay = same >= least
         at, same = at[stay], same[stay]
-    return at, same
+    return at
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -138,7 +145,7 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def sketch(docs: DataFrame, p: Params) -> DataFrame:
-    """doc_id, n_shingles, fingerprint halves f1 and f2, signature and band keys (both null for an empty set)."""
+    """doc_id, n_shingles, fingerprint halves f1 and f2, and signature (null for an empty set)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -146,31 +153,46 @@ def sketch(docs: DataFrame, p: Params) -> DataFrame:
             for t in b["text"]:
                 s = shingles(t, p.words)
                 if not len(s):
-                    rows.append((0, 0, 0, None, None))
+                    rows.append((0, 0, 0, None))
                     continue
-                f, sig = xxhash.xxh3_128_digest(s.tobytes()), signature(s, p)
-                rows.append((len(s), *np.frombuffer(f, np.int64).tolist(), sig.tobytes(), band_keys(sig, p)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sig", "bands"])
+                f = xxhash.xxh3_128_digest(s.tobytes())
+                rows.append((len(s), *np.frombuffer(f, np.int64).tolist(), signature(s, p).tobytes()))
+            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sig"])
             out.insert(0, "doc_id", b["doc_id"].astype("Int64").array)
             yield out
 
-    kinds = "doc_id long, n_shingles long, f1 long, f2 long, sig binary, bands array<long>"
+    kinds = "doc_id long, n_shingles long, f1 long, f2 long, sig binary"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, kinds)
 
 
+def bands_of(reps: DataFrame, p: Params) -> DataFrame:
+    """(key, doc_id) of every band of every signature."""
+
+    @F.pandas_udf("array<long>")
+    def keys(sigs: pd.Series) -> pd.Series:
+        return pd.Series(list(band_keys(grid(sigs, p), p)), dtype=object)
+
+    return reps.select(F.explode(keys("sig")).alias("key"), "doc_id")
+
+
+def sizes_fit(x, y, p: Params):
+    """Whether sets of these sizes can reach the threshold at all."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * p.percent
+
+
 def likely_pairs(pairs: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
-    """The (a, b) pairs that the posterior doesn't rule out."""
+    """The (a, b) pairs that neither sizes nor the posterior rule out."""
 
     @F.pandas_udf("boolean")
     def keep(x: pd.Series, y: pd.Series) -> pd.Series:
         out = np.zeros(len(x), bool)
         if len(x):
-            grid = lambda z: np.frombuffer(b"".join(z), np.uint32).reshape(-1, p.size)
-            out[likely(grid(x), grid(y), p)[0]] = True
+            out[likely(grid(x, p), grid(y, p), p)] = True
         return pd.Series(out)
 
-    of = lambda c: reps.select(F.col("doc_id").alias(c), F.col("sig").alias(f"sig_{c}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(keep("sig_a", "sig_b")).select("a", "b").distinct()
+    of = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b").filter(sizes_fit(F.col("n_a"), F.col("n_b"), p))
+    return both.filter(keep("sig_a", "sig_b")).select("a", "b").distinct()
 
 
 def exact_links(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
@@ -185,14 +207,20 @@ def exact_links(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
             out[i] = linked(s, shingles(u, p.words), p.percent)
         return pd.Series(out)
 
-    texts = docs.select("doc_id", "text").join(pairs.selectExpr("explode(array(a, b)) doc_id").distinct(), "doc_id", "left_semi")
+    texts = only(docs.select("doc_id", "text"), pairs.selectExpr("explode(array(a, b)) doc_id"), "doc_id")
     of = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
     return pairs.join(of("b"), "b").join(of("a"), "a").filter(test("text_a", "text_b")).select("a", "b")
 
 
-def cross_candidates(buckets: DataFrame, reps: DataFrame, comps: DataFrame, best: bool, p: Params) -> DataFrame:
-    """Likely pairs (a, b) of different components within a bucket; with ``best``, of each member and foreign
-    component of a tile only the one with the most matches."""
+def hubs(buckets: DataFrame) -> DataFrame:
+    """(key, hub) of (key, doc_id, n), n being the members of the bucket."""
+    degree = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    best = F.max(F.struct("degree", -F.col("doc_id")))  # ties: the smallest id
+    return buckets.join(degree, "doc_id").groupBy("key").agg(best.alias("m")).select("key", (-F.col("m.col2")).alias("hub"))
+
+
+def cross_links(buckets: DataFrame, docs: DataFrame, reps: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
+    """The links (a, b) between different components within a bucket, each found in the first bucket that it shares."""
     comp = F.coalesce("component", "doc_id")
     own = buckets.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", comp.alias("comp"))
     mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).filter("low < high")
@@ -200,21 +228,29 @@ def cross_candidates(buckets: DataFrame, reps: DataFrame, comps: DataFrame, best
     own = own.join(mixed.select("key", F.ceil(F.col("n") / p.tile).cast("int").alias("blocks")), "key")
     own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "comp")
-    own = own.join(reps.select("doc_id", "sig"), "doc_id")
+    own = cut(own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "comp"))
+    texts = only(docs.select("doc_id", "text"), own.select("doc_id"), "doc_id")
+    own = own.join(reps.select("doc_id", "n_shingles", "sig").join(texts, "doc_id"), "doc_id")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        grid = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, p.size)
-        ids, comp, block = (rows[c].to_numpy() for c in ("doc_id", "comp", "block"))
-        found = []
-        for r in range(len(ids)):  # one member against the rest of the tile
-            with_ = np.flatnonzero((comp != comp[r]) & (ids > ids[r] if not best else True) & ((block != block[r]) | (key[1] == key[2])))
-            at, same = likely(np.broadcast_to(grid[r], (len(with_), p.size)), grid[with_], p)
-            at = with_[at]
-            if best and len(at):
-                order = np.lexsort((ids[at], -same, comp[at]))
-                at = at[order][np.unique(comp[at][order], return_index=True)[1]]
-            found += [(min(ids[r], ids[x]), max(ids[r], ids[x])) for x in at]
+        rows = rows.sort_values(["n_shingles", "doc_id"])
+        sigs = grid(rows["sig"], p)
+        ids, comp, block, size = (rows[c].to_numpy() for c in ("doc_id", "comp", "block", "n_shingles"))
+        # by size, so the partners of a member that are as large and fit are a stretch behind it
+        ends = np.searchsorted(100 * size, 10_000 * size // p.percent, side="right") if len(size) else size
+        text, found = rows["text"].tolist(), []
+        sets = cache(lambda r: shingles(text[r], p.words))  # of those that come to it, once a tile
+        for r in range(len(ids)):
+            with_ = slice(r + 1, ends[r])
+            at = r + 1 + np.flatnonzero((comp[with_] != comp[r]) & ((block[with_] != block[r]) | (key[1] == key[2])))
+            if not len(at):
+                continue
+            at = at[likely(np.broadcast_to(sigs[r], (len(at), p.size)), sigs[at], p)]
+            if len(at):
+                alike = (sigs[r] == sigs[at]).reshape(-1, p.bands, p.rows).all(axis=2)
+                own = band_keys(sigs[r], p)[0]
+                at = at[own[alike.argmax(axis=1)] == key[0]]
+                found += [(min(ids[r], ids[x]), max(ids[r], ids[x])) for x in at if linked(sets(r), sets(x), p.percent)]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return own.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
@@ -227,27 +263,20 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     and a link with either goes by that id. A null id links with nothing: component_id is null and kept is true. An empty table gives no rows;
     other columns are ignored."""
     sk = cut(sketch(docs, p))
-    first = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    member = sk.select("doc_id", "n_shingles", "f1", "f2").join(first, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
+    # cut, so that it meets the rows by a shuffle of its own, which can split a set that very many rows have
+    first = cut(sk.filter("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep")))
+    member = sk.select("doc_id", "n_shingles", "f1", "f2").join(first, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
     member = cut(member)
     # one row for each class: the others of it are of no further use
-    reps = cut(sk.join(first.select("f1", "f2", "rep"), (sk["f1"] == first["f1"]) & (sk["f2"] == first["f2"]) & (F.col("doc_id") == F.col("rep"))).select("doc_id", "sig", "bands"))
-    keys = reps.select(F.explode("bands").alias("key"), "doc_id")
-    heads = keys.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).filter("head < last").select("key", "head")
-    buckets = cut(keys.join(heads, "key"))
-    sigs = reps.select("doc_id", "sig")
-    star = buckets.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    tested = cut(likely_pairs(star, sigs, p))
+    same = (sk["f1"] == first["f1"]) & (sk["f2"] == first["f2"]) & (F.col("doc_id") == F.col("rep"))
+    reps = cut(sk.join(first.select("f1", "f2", "rep"), same).select("doc_id", "n_shingles", "sig"))
+    keys = bands_of(reps, p)
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = cut(keys.join(shared, "key"))
+    star = buckets.join(hubs(buckets), "key").filter("doc_id <> hub").select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
+    tested = cut(likely_pairs(star, reps, p))
     links = cut(exact_links(tested, docs, p))
-    for best in (True, False):
-        comps = components(links)
-        more = cut(cross_candidates(buckets.select("key", "doc_id"), sigs, comps, best, p).join(tested, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        links = cut(links.unionByName(exact_links(more, docs, p)))
-        tested = tested.unionByName(more)
-    else:
-        comps = components(links)
+    comps = components(links.unionByName(cross_links(buckets.select("key", "doc_id"), docs, reps, components(links), p)))
     out = member.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
