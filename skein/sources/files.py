@@ -65,7 +65,7 @@ def final_records(spark: SparkSession, path: str) -> DataFrame:
 def markdown_files(spark: SparkSession, folder: str) -> DataFrame:
     """source_file and md, one row a ``*.md`` file."""
     refuse_hidden(spark, folder, ".md")
-    rows = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.md").text(folder)
+    rows = spark.read.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
     return rows.select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("md"))
 
 
