@@ -37,7 +37,8 @@ def header_sections(docs: DataFrame) -> DataFrame:
     sections of equal headers are one; a header without a body gives no section. Fenced lines are never headers."""
     x = F.transform(F.split("md", "\n", -1), lambda s: printable(strip(s)))
     rows = docs.select("source_file", x.alias("lines")).withColumn("fences", fences(F.col("lines")))
-    rows = rows.select("source_file", "fences", F.posexplode("lines").alias("pos", "x"))
+    # outer: a plain explode would make Spark test the array's size first, and so make it twice
+    rows = rows.select("source_file", "fences", F.posexplode_outer("lines").alias("pos", "x")).filter("pos is not null")
     inside = F.exists("fences", lambda f: (F.col("pos") >= f["s"]) & (F.col("pos") < f["e"]))
     rows = rows.select("source_file", "pos", "x", inside.alias("fenced"))
     level = F.when(F.col("fenced"), 0).otherwise(F.length(F.regexp_extract("x", r"^(#{1,3})(?: |$)", 1)))
