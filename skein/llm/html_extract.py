@@ -27,7 +27,7 @@ class Params:
     paragraph: int = 25
     #: Share of the best score from which a sibling is kept.
     sibling: float = 0.2
-    #: Share of link text up to which a paragraph beside the best container is kept.
+    #: Share of link text up to which a heading, paragraph or list beside the best container is kept.
     link_density: float = 0.25
 
 
@@ -47,6 +47,8 @@ DROP_WORDS = frozenset(
 #: Elements that a class name alone doesn't take out.
 SAFE = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption address summary".split())
+#: What belongs to the text around it, however short.
+BESIDE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".split())
 #: A new one ends an open one, if no element of the second set lies between.
 IMPLIED = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "tr": ("tr td th", "table"), "tbody": ("tbody thead tfoot tr td th", "table"), "thead": ("tbody thead tfoot tr td th", "table"), "tfoot": ("tbody thead tfoot tr td th", "table"), "option": ("option", "select"), "optgroup": ("option optgroup", "select")}
 IMPLIED = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in IMPLIED.items()}
@@ -178,7 +180,7 @@ def main_text(html: str | None, p: Params = Params()) -> str:
     for i in range(1, n):
         if best and i != best and t.parent[i] == t.parent[best] and chars[i]:
             dense = linked[i] / chars[i]
-            if score[i] >= max(4.0, p.sibling * score[best]) or t.tag[i] in ("p", "pre", "blockquote") and own[i] >= 80 and dense < p.link_density:
+            if score[i] >= max(4.0, p.sibling * score[best]) or t.tag[i] in BESIDE and dense < p.link_density:
                 chosen.add(i)
     inside = [False] * n
     for i in range(n):

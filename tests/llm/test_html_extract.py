@@ -25,6 +25,7 @@ def page(body):
         (f"<div><!-- <p>no</p> --><p title='a > b'>{LONG}</p><p hidden>no</p><p style='display:none'>no</p><div role=navigation>no</div></div>", LONG),
         (f"<article><header><h1>In</h1></header><p>{LONG}</p><footer>no</footer></article>", f"In {LONG}"),
         (f"<div><p>{LONG}</p></b></div></div></span><p>{LONG}</p>", f"{LONG} {LONG}"),
+        (f"<div><h1>T</h1><div><p>{LONG} {LONG}</p><p>{LONG}</p></div><h2>U</h2><p>short</p><ul><li><a href=1>link one</a><li><a href=2>link two</a></ul></div>", f"T {LONG} {LONG} {LONG} U short"),
         ("<ul><li><a href=1>only links here, quite long, really long</a></ul>", ""),
         ("", ""),
     ],
