@@ -32,7 +32,7 @@ class Params:
     #: Pivots: this many times the square root of the number of distinct vectors, within these bounds.
     pivots_per_root: float = 4.0
     min_pivots: int = 16
-    max_pivots: int = 8192
+    max_pivots: int = 32_768
     #: Pivots as near as this to one before are left out.
     apart: float = 0.85
     #: Vectors of a list in one block.
@@ -173,3 +173,16 @@ def near_duplicates(vectors: DataFrame, p: Params = Params()) -> DataFrame:
 
 def op1(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: op1 by all pairs.
+SQL = """
+with recursive v as (select vec_id, embedding::double[] e from embeddings where embedding is not null
+  and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links as (select x.vec_id a, y.vec_id b from v x join v y on x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_cosine_similarity(x.e, y.e) >= 0.95),
+n as (select a vec_id, count(*)::bigint n from links group by a),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+low as (select a vec_id, min(b) b from reach group by a)
+select m.vec_id, coalesce(n.n, 0)::bigint n_links, least(m.vec_id, coalesce(low.b, m.vec_id)) component_id, m.vec_id = least(m.vec_id, coalesce(low.b, m.vec_id)) kept
+from embeddings m left join n using (vec_id) left join low using (vec_id)
+"""

@@ -289,3 +289,19 @@ def keep_first(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 def op5(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Params(words=4))
+
+
+#: op5 by all pairs that share a shingle.
+SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+s as (
+  select distinct doc_id, unnest(case when len(ws) < 4 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) end) g from w where len(ws) > 0),
+n as (select doc_id, count(*)::bigint n from s group by doc_id),
+c as (select x.doc_id a, y.doc_id b, count(*) m from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id),
+links as (select c.a, c.b from c join n x on x.doc_id = c.a join n y on y.doc_id = c.b where 100 * c.m >= 80 * (x.n + y.n - c.m)),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+low as (select a doc_id, min(b) b from reach group by a)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) component_id, d.doc_id = least(d.doc_id, coalesce(low.b, d.doc_id)) kept
+from documents d left join n using (doc_id) left join low using (doc_id)
+"""

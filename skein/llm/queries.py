@@ -25,4 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": sharding.SQL, "op9_url_filter": url_filter.SQL}
+    return {
+        "op1_embedding_dedup": embedding_dedup.SQL,
+        "op3_sharding": sharding.SQL,
+        "op5_minhash_dedup": minhash.SQL,
+        "op9_url_filter": url_filter.SQL,
+    }

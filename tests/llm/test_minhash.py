@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from conftest import same_rows
 
 from skein.llm import minhash as m
 
@@ -88,8 +89,7 @@ def test_estimates_and_bounds():
     assert len(np.unique(m.band_keys(x, p))) == p.bands
 
 
-def test_query(spark, sf_dir):
+def test_query_equals_sql(spark, sf_dir, duck):
     out = m.op5(spark, sf_dir)
     assert out.dtypes == [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint"), ("kept", "boolean")]
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == brute(docs, 4)
+    same_rows(out, duck.execute(m.SQL))
