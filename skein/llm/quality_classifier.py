@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from skein.llm.common import table
 
 #: Words a worker remembers before it starts afresh, and documents it splits at once.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 DOCS_AT_ONCE = 64
 #: Times the tied bigram of a repeated word counts, about as often as a word has features of its own.
 TIED = 8
@@ -101,12 +101,12 @@ def fit(texts: list[str | None], classes: np.ndarray, p: Params) -> tuple[np.nda
     def buckets(new: list[bytes]) -> list[np.ndarray]:
         place, at = features(new, p)
         order = np.argsort(place, kind="stable")
-        return np.split(at[order], np.searchsorted(place[order], np.arange(1, len(new))))
+        return np.split(at[order].astype(np.int32), np.searchsorted(place[order], np.arange(1, len(new))))
 
     docs = []
     for ws, ids in Words(buckets).lookup(texts):
-        ids = np.concatenate([*ids, np.full(TIED * repeats(ws), p.buckets)])
-        at, n = np.unique(ids.astype(np.int64), return_counts=True)
+        ids = np.concatenate([*ids, np.full(TIED * repeats(ws), p.buckets, np.int32)])
+        at, n = np.unique(ids, return_counts=True)
         docs.append((at, (n / max(1, n.sum())).astype(np.float32)))
     rng = np.random.default_rng(p.seed)
     vectors = rng.uniform(-1 / p.dim, 1 / p.dim, (p.buckets + 1, p.dim)).astype(np.float32)
