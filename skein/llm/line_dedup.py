@@ -74,34 +74,33 @@ def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
     # a window of blank lines alone isn't a run
     words_in = lambda i: F.aggregate(F.slice(w, i + 1, F.greatest(F.get(m, i), F.lit(1))), F.lit(0), lambda a, x: a + x)
     places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get(m, i).isNotNull() & (words_in(i) > 0) & ((F.get(m, i) == 1) | least_of(i)))
-    out = out.select("row", "doc_id", "h", "m", "g", F.explode(places).alias("at"))
+    # outer: a plain explode would make Spark test the array's size first, and so make it twice
+    out = out.select("row", "doc_id", "h", "m", "g", F.explode_outer(places).alias("at")).filter("at is not null")
     around = lambda a, n: F.slice("h", a + 1, n)
     start = F.greatest(F.col("at") - p.reach, F.lit(0))
     out = out.select("row", "doc_id", "at", F.get("m", F.col("at")).alias("m"), F.get("g", F.col("at")).alias("f"), F.reverse(around(start, F.col("at") - start)).alias("before"), around(F.col("at") + F.get("m", F.col("at")), F.lit(p.reach)).alias("after"))
     return out
 
 
-def alike(x: Column, y: Column, p: Params) -> Column:
+def alike(x: Column, y: Column) -> Column:
     """How many elements two arrays share from the start."""
-    n, going = F.lit(0), F.lit(True)
-    for j in range(p.reach):
-        going = going & F.coalesce(F.get(x, F.lit(j)) == F.get(y, F.lit(j)), F.lit(False))
-        n = n + F.when(going, 1).otherwise(0)
-    return n
+    same = F.zip_with(x, y, lambda a, b: F.coalesce(a == b, F.lit(False)))  # the shorter one is filled up with nulls
+    at = F.array_position(same, False)
+    return F.when(at > 0, at - 1).otherwise(F.size(same)).cast("int")
 
 
 def deletions(docs: DataFrame, p: Params) -> DataFrame:
     """(row, gone): the lines of each row to delete, numbered from 0. ``docs`` has row, doc_id and text."""
     marks = cut(fingerprints(docs, p))
     place = F.struct("doc_id", "row", "at", "before", "after")
-    first = marks.groupBy("f").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("f", "first")
-    # no hint: a fingerprint with very many places is split by skew handling
+    # cut, so that it meets the places by a shuffle of its own, which can split a fingerprint with very many of them
+    first = cut(marks.groupBy("f").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("f", "first"))
     found = marks.join(first, "f").filter(~(F.col("row") == F.col("first.row")) | ~(F.col("at") == F.col("first.at")))
     # within a document, the first occurrence stays as it is: a run stops short of it
-    low = F.col("at") - alike(F.col("before"), F.col("first.before"), p)
+    low = F.col("at") - alike(F.col("before"), F.col("first.before"))
     low = F.when(F.col("row") == F.col("first.row"), F.greatest(low, F.least(F.col("at"), F.col("first.at") + F.col("m")))).otherwise(low)
-    high = F.col("at") + F.col("m") + alike(F.col("after"), F.col("first.after"), p)
-    spans = found.select("row", F.explode(F.sequence(low, high - 1)).alias("line"))
+    high = F.col("at") + F.col("m") + alike(F.col("after"), F.col("first.after"))
+    spans = found.select("row", F.explode_outer(F.sequence(low, high - 1)).alias("line"))
     return spans.distinct().groupBy("row").agg(F.collect_list("line").alias("gone"))
 
 
