@@ -29,6 +29,9 @@ class Params:
     sibling: float = 0.2
     #: Share of link text up to which a heading, paragraph or list beside the best container is kept.
     link_density: float = 0.25
+    #: Links from which a block inside the container that is nothing but links is a menu, and the share that makes it one.
+    menu_links: int = 3
+    menu_density: float = 0.9
 
 
 # Names of HTML elements by their role.
@@ -42,8 +45,10 @@ DROP = frozenset("head script style title textarea noscript iframe noembed nofra
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar tooltip status form".split())
 #: Words of class and id attributes that mark what isn't the article.
 DROP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices notification outbrain overlay pagination pager paywall popup privacy promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget widgets".split()
+    "ad adblock adbox adslot adunit ads adv advert adverts advertisement advertising adsense alert alerts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright discussion discussions disqus feedback footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices notification outbrain overlay pagination pager paywall popup privacy promo promoted promotion recommended related replies reply respond response responses share sharing sidebar sidenav signup skip social sponsor sponsored subnav subscribe subscription taboola toolbar topbar topnav widget widgets".split()
 )
+#: Words that make a "header" the article's own.
+OWN_WORDS = frozenset("article content entry post story".split())
 #: Elements that a class name alone doesn't take out.
 SAFE = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption address summary".split())
@@ -72,8 +77,10 @@ def unwanted(tag: str, attrs: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and (tag not in SAFE or (tag == "article" and in_article)) and any(w.lower() in DROP_WORDS and not (in_article and w.lower() == "header") for w in PIECES.findall(value)):
-            return True
+        if name in ("class", "id") and (tag not in SAFE or (tag == "article" and in_article)):
+            names = {w.lower() for w in PIECES.findall(value)}
+            if names & DROP_WORDS - ({"header"} if in_article or names & OWN_WORDS else set()):
+                return True
     return False
 
 
@@ -141,7 +148,7 @@ def main_text(html: str | None, p: Params = Params()) -> str:
     for i in range(1, n):
         block[i] = i if t.tag[i] in BLOCK else block[t.parent[i]]
         link[i] = t.tag[i] == "a" or link[t.parent[i]]
-    chars, linked, commas, own = [0] * n, [0] * n, [0] * n, [0] * n
+    chars, linked, commas, own, titled = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
     for i, text in t.pieces:
         if k := len("".join(text.split())):
             b = block[i]
@@ -149,9 +156,11 @@ def main_text(html: str | None, p: Params = Params()) -> str:
             commas[b] += text.count(",")
             chars[b] += k
             linked[b] += k * link[i]
+            titled[b] += k * (t.tag[b] == "h1")
+    links = [int(t.tag[i] == "a") for i in range(n)]
     for i in range(n - 1, 0, -1):
-        chars[t.parent[i]] += chars[i]
-        linked[t.parent[i]] += linked[i]
+        for sums in (chars, linked, titled, links):
+            sums[t.parent[i]] += sums[i]
     for least in (p.paragraph, 1):  # if nothing is long enough, whatever there is
         score = [0.0] * n
         for i in range(n):
@@ -170,21 +179,28 @@ def main_text(html: str | None, p: Params = Params()) -> str:
             break
     else:
         return ""
+    inner = [False] * n  # inside or itself an element that names the article
+    for i in range(1, n):
+        inner[i] = inner[t.parent[i]] or t.tag[i] in ("article", "main")
+    named = [i for i in range(1, n) if inner[i] and not inner[t.parent[i]] and score[i] > 0]
     up = best
     while up > 0 and t.tag[up] not in ("article", "main"):
         up = t.parent[up]
+    if up <= 0 and len(named) == 1:
+        up = named[0]
     if up > 0:  # the page names its article
-        score[up] = max(score[up], score[best])
+        score[up] = max(score[up], score[best]) if inner[best] else score[up]
         best = up
     chosen = {best}
     for i in range(1, n):
         if best and i != best and t.parent[i] == t.parent[best] and chars[i]:
             dense = linked[i] / chars[i]
-            if score[i] >= max(4.0, p.sibling * score[best]) or t.tag[i] in BESIDE and dense < p.link_density:
+            if score[i] >= max(4.0, p.sibling * score[best]) or (t.tag[i] in BESIDE or titled[i] == chars[i]) and dense < p.link_density:
                 chosen.add(i)
     inside = [False] * n
     for i in range(n):
-        inside[i] = i in chosen or (i > 0 and inside[t.parent[i]])
+        menu = t.tag[i] in BLOCK and i not in chosen and not inner[i] and links[i] >= p.menu_links and linked[i] >= p.menu_density * chars[i]
+        inside[i] = i in chosen or (i > 0 and inside[t.parent[i]] and not menu)
     return " ".join("".join(text if inside[i] else " " for i, text in t.pieces).split())
 
 

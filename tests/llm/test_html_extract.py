@@ -7,6 +7,7 @@ import pytest
 from skein.llm import html_extract as h
 
 LONG = "A paragraph of the article, long enough to count, with a comma or two, and then some."
+MENU = "".join(f"<li><a href={i}>Menu item {i}</a>" for i in range(6)).join(("<ul>", "</ul>"))
 
 
 def page(body):
@@ -26,6 +27,13 @@ def page(body):
         (f"<article><header><h1>In</h1></header><p>{LONG}</p><footer>no</footer></article>", f"In {LONG}"),
         (f"<div><p>{LONG}</p></b></div></div></span><p>{LONG}</p>", f"{LONG} {LONG}"),
         (f"<div><h1>T</h1><div><p>{LONG} {LONG}</p><p>{LONG}</p></div><h2>U</h2><p>short</p><ul><li><a href=1>link one</a><li><a href=2>link two</a></ul></div>", f"T {LONG} {LONG} {LONG} U short"),
+        # menus without a name beside and inside the container; lists with some links stay
+        (f"<div class=x>{MENU}</div><p>{LONG}</p><ul><li>one<li><a href=1>two</a></ul><p>{LONG}</p><div>{MENU}</div>", f"{LONG} one two {LONG}"),
+        # comments that are longer than the article, under other names
+        (f"<div><p>{LONG}</p></div><section class=discussion><p>{LONG} {LONG} {LONG}</p></section>", LONG),
+        (f"<article><p>{LONG}</p></article><ol class=thread><li><p>{LONG} {LONG} {LONG}</p></ol>", LONG),
+        (f"<div id=content><div class='article-header'><h1>T</h1></div><div class=article-body><p>{LONG}</p><p>{LONG}</p></div></div>", f"T {LONG} {LONG}"),
+        (f"<div class=topnav><a href=1>a</a></div><article><p>{LONG}</p><ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul></article>", f"{LONG} a b c"),
         ("<ul><li><a href=1>only links here, quite long, really long</a></ul>", ""),
         ("", ""),
     ],
