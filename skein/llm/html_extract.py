@@ -195,8 +195,9 @@ def main_text(html: str | None, p: Params = Params()) -> str:
     for i in range(1, n):
         if best and i != best and t.parent[i] == t.parent[best] and chars[i]:
             dense = linked[i] / chars[i]
-            if score[i] >= max(4.0, p.sibling * score[best]) or (t.tag[i] in BESIDE or titled[i] == chars[i]) and dense < p.link_density:
-                chosen.add(i)
+            strong, part = score[i] >= max(4.0, p.sibling * score[best]), t.tag[i] in BESIDE and dense < p.link_density
+            if titled[i] == chars[i] and dense < p.link_density or [best] != named and (strong or part):
+                chosen.add(i)  # beside a page's only article nothing but its title
     inside = [False] * n
     for i in range(n):
         menu = t.tag[i] in BLOCK and i not in chosen and not inner[i] and links[i] >= p.menu_links and linked[i] >= p.menu_density * chars[i]
