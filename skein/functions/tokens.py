@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable
-from functools import cache
+from functools import cache, lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: name -> file of the public_tokenizers package
 VOCABULARIES = {"bpe50k": "byte_bpe_50k.tiktoken", "bpe_multi50k": "byte_bpe_multi_50k.tiktoken"}
 WORD = r"[^ \n\r\t]+"
+#: Texts up to so many characters are mostly words, which come again: a worker remembers the counts of so many.
+SHORT, SHORT_TEXTS = 32, 1 << 17
 
 
 @cache
@@ -36,7 +38,9 @@ def measure(name: str) -> Callable[[list[str]], list[int]]:
 
         find = re.compile(WORD).findall
         return lambda texts: [len(find(t)) for t in texts]
-    return lambda texts: [len(x) for x in encoding(name).encode_ordinary_batch(texts, num_threads=1)]
+    encode = encoding(name).encode_ordinary
+    known = lru_cache(SHORT_TEXTS)(lambda text: len(encode(text)))
+    return lambda texts: [known(t) if len(t) <= SHORT else len(encode(t)) for t in texts]
 
 
 def count_tokens(c: Column, name: str = "words") -> Column:
