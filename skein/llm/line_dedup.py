@@ -1,20 +1,20 @@
 """Operator 7, line dedup: winnowing over line hashes.
 
-At each line starts a gram: the shortest window of lines from there that holds ``min_words`` words, or ``max_lines``
-lines if it stays below. Of every ``window`` neighbouring grams the one of least hash is a fingerprint, and so is every
-gram of a single line. A repeated run that holds ``window`` grams, or one such line, is therefore guaranteed to share
-a fingerprint with its first occurrence, while most grams are never joined.
-
-Fingerprints are joined with the first place in the corpus (by doc_id, then line) of the same gram; each match is
-extended both ways, line by line, as far as a fingerprint could have been passed over; and the later run is deleted.
-All of it is DataFrame expressions: lines and fingerprints are rows, minima are taken before they are shuffled.
+A run of lines is full if it holds ``min_words`` words or ``max_lines`` lines. Grams are the full runs that aren't full
+without their last line, and those that aren't without their first. Every line of a repeated full run is in such a gram
+inside the run: in the first kind from the run's start, or else in the second kind that ends with the line. So with a
+``window`` of 1, where each gram is a fingerprint, all repeated full runs are found to the line, and nothing else is.
+
+Fingerprints are joined with the first place in the corpus (by doc_id, then line) of the same gram, and the later gram
+is deleted. All of it is DataFrame expressions: fingerprints are rows, minima are taken before they are shuffled.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.common import WORD, boxed, cut, table
@@ -22,15 +22,11 @@ from skein.llm.common import WORD, boxed, cut, table
 
 @dataclass(frozen=True)
 class Params:
-    #: A repeated run counts if it holds so many words, or so many lines with words.
+    #: A repeated run counts if it holds so many words, or so many lines.
     min_words: int = 50
     max_lines: int = 5
-    window: int = 2
-
-    @property
-    def reach(self) -> int:
-        """Lines on either side of a fingerprint that a run can go on without another one."""
-        return self.max_lines + self.window
+    #: Neighbouring grams of which the least is a fingerprint. From 2 on, a run that holds fewer grams can be missed.
+    window: int = 1
 
 
 def line_hashes(lines: Column) -> Column:
@@ -39,15 +35,15 @@ def line_hashes(lines: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
-    """row, doc_id, at, m (lines of the gram), f (its hash), before and after (hashes around), one row each."""
+    """row, at and last (first and last line of the gram), f (its hash), one row each."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    out = docs.select("row", "doc_id", lines.alias("lines"))
-    out = out.select("row", "doc_id", line_hashes(F.col("lines")).alias("h"), F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
+    out = docs.select("row", lines.alias("lines"))
+    out = out.select("row", line_hashes(F.col("lines")).alias("h"), F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
     h, w, k = F.col("h"), F.col("w"), p.max_lines
     least = F.lit(p.min_words)
 
     def size(i: Column) -> Column:
-        """Lines of the gram from line i; null if the text ends before it is complete."""
+        """Lines of the shortest full run from line i; null if the text ends before it is full."""
         total, out = F.get(w, i), F.when(F.get(w, i) >= least, F.lit(1))
         for j in range(1, k):
             total = total + F.get(w, i + j)
@@ -55,53 +51,42 @@ def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
         return out
 
     out = out.withColumn("m", F.transform("h", lambda _, i: size(i)))
-    m = F.col("m")
-    gram = F.transform("h", lambda _, i: F.when(F.get(m, i).isNotNull(), F.xxhash64(F.get(m, i), *(F.when(F.get(m, i) > j, F.get(h, i + j)) for j in range(k)))))
-    out = out.withColumn("g", gram)
-    g = F.col("g")
-
-    def least_of(i: Column) -> Column:
-        """Whether gram i is the least of some ``window`` neighbours."""
-        any_ = F.lit(False)
-        for first in range(1 - p.window, 1):
-            others = [F.coalesce(F.get(g, i) <= F.get(g, i + first + j), F.lit(True)) for j in range(p.window) if first + j]
-            both = F.lit(True)
-            for x in others:
-                both = both & x
-            any_ = any_ | both
-        return any_
-
-    # a window of blank lines alone isn't a run
-    words_in = lambda i: F.aggregate(F.slice(w, i + 1, F.greatest(F.get(m, i), F.lit(1))), F.lit(0), lambda a, x: a + x)
-    places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get(m, i).isNotNull() & (words_in(i) > 0) & ((F.get(m, i) == 1) | least_of(i)))
     # outer: a plain explode would make Spark test the array's size first, and so make it twice
-    out = out.select("row", "doc_id", "h", "m", "g", F.explode_outer(places).alias("at")).filter("at is not null")
-    around = lambda a, n: F.slice("h", a + 1, n)
-    start = F.greatest(F.col("at") - p.reach, F.lit(0))
-    out = out.select("row", "doc_id", "at", F.get("m", F.col("at")).alias("m"), F.get("g", F.col("at")).alias("f"), F.reverse(around(start, F.col("at") - start)).alias("before"), around(F.col("at") + F.get("m", F.col("at")), F.lit(p.reach)).alias("after"))
-    return out
-
-
-def alike(x: Column, y: Column) -> Column:
-    """How many elements two arrays share from the start."""
-    same = F.zip_with(x, y, lambda a, b: F.coalesce(a == b, F.lit(False)))  # the shorter one is filled up with nulls
-    at = F.array_position(same, False)
-    return F.when(at > 0, at - 1).otherwise(F.size(same)).cast("int")
+    places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get("m", i).isNotNull())
+    out = out.select("row", "h", "w", "m", F.explode_outer(places).alias("at")).filter("at is not null")
+    # from m lines on the run is full; up to m of the next line it isn't without its first
+    at, m = F.col("at"), F.get("m", F.col("at"))
+    most = F.least(F.coalesce(F.get("m", at + 1), F.lit(k)), F.lit(k), F.size("h") - at)
+    out = out.select("row", "h", "w", "at", F.explode(F.sequence(m, F.greatest(m, most))).alias("n"))
+    n = F.col("n")
+    part = lambda a, j: F.when(n > j, F.get(a, at + j))
+    in_words = sum((F.coalesce(part(w, j), F.lit(0)) for j in range(k)), F.lit(0))
+    # a run of blank lines alone isn't one
+    out = out.filter(in_words > 0).select("row", "at", (at + n - 1).alias("last"), F.xxhash64(n, *(part(h, j) for j in range(k))).alias("f"))
+    return winnowed(out, p.window) if p.window > 1 else out
+
+
+def winnowed(marks: DataFrame, window: int) -> DataFrame:
+    """Of every ``window`` neighbours in a row, the one of least hash, and every gram of a single line."""
+    by = Window.partitionBy("row").orderBy("at", "last")
+    out = marks.distinct()
+    for first in range(1 - window, 1):
+        out = out.withColumn(f"least{first}", F.min("f").over(by.rowsBetween(first, first + window - 1)))
+    least = [F.col("f") == F.col(f"least{first}") for first in range(1 - window, 1)]
+    return out.filter(reduce(Column.__or__, least, F.col("at") == F.col("last"))).select(marks.columns)
 
 
 def deletions(docs: DataFrame, p: Params) -> DataFrame:
-    """(row, gone): the lines of each row to delete, numbered from 0. ``docs`` has row, doc_id and text."""
+    """(row, gone): the lines of each row to delete, numbered from 0. ``docs`` has row and text."""
     marks = cut(fingerprints(docs, p))
-    place = F.struct("doc_id", "row", "at", "before", "after")
     # cut, so that it meets the places by a shuffle of its own, which can split a fingerprint with very many of them
-    first = cut(marks.groupBy("f").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("f", "first"))
+    first = cut(marks.groupBy("f").agg(F.min(F.struct("row", "at", "last")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("f", "first"))
     found = marks.join(first, "f").filter(~(F.col("row") == F.col("first.row")) | ~(F.col("at") == F.col("first.at")))
-    # within a document, the first occurrence stays as it is: a run stops short of it
-    low = F.col("at") - alike(F.col("before"), F.col("first.before"))
-    low = F.when(F.col("row") == F.col("first.row"), F.greatest(low, F.least(F.col("at"), F.col("first.at") + F.col("m")))).otherwise(low)
-    high = F.col("at") + F.col("m") + alike(F.col("after"), F.col("first.after"))
-    spans = found.select("row", F.explode_outer(F.sequence(low, high - 1)).alias("line"))
-    return spans.distinct().groupBy("row").agg(F.collect_list("line").alias("gone"))
+    # within a document, the first occurrence stays as it is: a run that overlaps it begins behind it
+    low = F.when(F.col("row") == F.col("first.row"), F.greatest("at", F.col("first.last") + 1)).otherwise(F.col("at"))
+    spans = found.select("row", low.alias("low"), "last").distinct()
+    gone = F.flatten(F.collect_list(F.sequence("low", "last")))
+    return spans.groupBy("row").agg(F.array_distinct(gone).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -114,7 +99,7 @@ def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
     # a key that any second reading of the rows gives again; a struct, in which nulls equal each other
     row = F.struct("doc_id", F.xxhash64("text").alias("h"))
     rows = docs.select(boxed(docs, "n_lines", "n_deleted").alias("r"), "doc_id", "text", row.alias("row"))
-    gone = deletions(rows.select("row", "doc_id", "text"), p)
+    gone = deletions(rows.select("row", "text"), p)
     out = rows.join(gone, "row", "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")

@@ -64,6 +64,44 @@ def test_guarantee_and_whole_first_occurrences(spark):
     assert sum(r.n_deleted for r in out.values()) > 100
 
 
+def test_runs_of_exactly_the_limit(spark):
+    """Runs that hold one gram and no more, between different neighbours, and tails that hold none by themselves."""
+    docs = []
+    for k in range(40):
+        run_ = [words(f"r{k}_{j}_", n) for j, n in enumerate([(20, 20, 20), (26, 26), (1,) * 5, (49, 1), (30, 19, 1)][k % 5])]
+        docs += [(2 * k + at, "\n".join([f"own{k} {at}", *run_, f"end{k} {at}"])) for at in range(2)]
+    tail = ["\n".join(words(f"t{j}_", n) for j, n in enumerate((30, 30, 5)[:m])) for m in (2, 3)]
+    docs += [(100, f"x1\n{tail[0]}\ny1"), (101, f"x2\n{tail[1]}\ny2"), (102, f"x3\n{tail[1]}\ny3")]
+    got = {r.doc_id: r.text for r in run(spark, docs)}
+    for k in range(40):
+        assert got[2 * k] == docs[2 * k][1] and got[2 * k + 1] == f"own{k} 1\nend{k} 1"
+    assert got[100] == docs[-3][1] and got[101] == f"x2\n{words('t2_', 5)}\ny2" and got[102] == "x3\ny3"
+
+
+def test_equals_all_runs(spark):
+    """What is deleted is every full run that an earlier document has, to the line."""
+    rng, p = random.Random(5), l.Params(min_words=12, max_lines=3)
+    pool = [" ".join(f"k{j}_{i}" for i in range(rng.randint(1, 9))) for j in range(40)]
+    docs = []
+    for i in range(80):
+        at = rng.sample(range(36), 2)
+        docs.append((i, "\n".join([f"own{i}", *pool[at[0] : at[0] + rng.randint(1, 5)], f"mid{i}", *pool[at[1] : at[1] + rng.randint(1, 5)], f"end{i}"])))
+    got, seen = {r.doc_id: r.text for r in run(spark, docs, p)}, set()
+    for i, t in docs:
+        lines, gone = t.split("\n"), set()
+        runs = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if b - a >= 3 or len(W.findall(" ".join(lines[a:b]))) >= 12]
+        first = {}
+        for a, b in runs:
+            key = tuple(lines[a:b])
+            if key in seen:
+                gone.update(range(a, b))
+            elif key in first:
+                gone.update(range(max(a, first[key]), b))
+            first.setdefault(key, b)
+        assert got[i].split("\n") == [x for k, x in enumerate(lines) if k not in gone]
+        seen.update(first)
+
+
 def test_edges(spark):
     a = words("a", 60)
     rows = run(spark, [(1, None), (2, ""), (3, "\n\n\n\n\n\n\n"), (4, "\n\n\n\n\n\n\n"), (None, a), (5, a), (6, a), (6, a)])
