@@ -29,6 +29,8 @@ class Params:
     sibling: float = 0.2
     #: Share of link text up to which a heading, paragraph or list beside the best container is kept.
     link_density: float = 0.25
+    #: How many times the score of a page's only article element counts against containers outside it.
+    named: float = 2.0
     #: Links from which a block inside the container that is nothing but links is a menu, and the share that makes it one.
     menu_links: int = 3
     menu_density: float = 0.9
@@ -54,6 +56,8 @@ SAFE = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption address summary".split())
 #: What belongs to the text around it, however short.
 BESIDE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".split())
+#: Lists: beside an article element, more likely comments or teasers than its text.
+LISTS = frozenset("ul ol li dl dt dd".split())
 #: A new one ends an open one, if no element of the second set lies between.
 IMPLIED = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "tr": ("tr td th", "table"), "tbody": ("tbody thead tfoot tr td th", "table"), "thead": ("tbody thead tfoot tr td th", "table"), "tfoot": ("tbody thead tfoot tr td th", "table"), "option": ("option", "select"), "optgroup": ("option optgroup", "select")}
 IMPLIED = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in IMPLIED.items()}
@@ -161,10 +165,16 @@ def main_text(html: str | None, p: Params = Params()) -> str:
     for i in range(n - 1, 0, -1):
         for sums in (chars, linked, titled, links):
             sums[t.parent[i]] += sums[i]
-    for least in (p.paragraph, 1):  # if nothing is long enough, whatever there is
+    inner = [False] * n  # inside or itself an element that names the article
+    listed = [False] * n  # in a list outside such an element
+    for i in range(1, n):
+        inner[i] = inner[t.parent[i]] or t.tag[i] in ("article", "main")
+        listed[i] = not inner[i] and (listed[t.parent[i]] or t.tag[i] in LISTS)
+
+    def scores(least: int, lists: bool = True) -> list[float]:
         score = [0.0] * n
         for i in range(n):
-            if own[i] >= least:
+            if own[i] >= least and (lists or not listed[i]):
                 points, up, share = 1 + commas[i] + min(own[i] / 100, 3), i, 1.0
                 if t.tag[i] in PARAGRAPH:
                     up = max(t.parent[i], 0)
@@ -173,21 +183,23 @@ def main_text(html: str | None, p: Params = Params()) -> str:
                     up, share = t.parent[up], 1 / depth if depth < 3 else 1 / (depth * 1.5)
                     if up < 0:
                         break
-        score = [s * (1 - linked[i] / chars[i]) if chars[i] else 0.0 for i, s in enumerate(score)]
+        return [s * (1 - linked[i] / chars[i]) if chars[i] else 0.0 for i, s in enumerate(score)]
+
+    for least in (p.paragraph, 1):  # if nothing is long enough, whatever there is
+        score = scores(least)
         best = max(range(n), key=score.__getitem__)
         if score[best] > 0:
             break
     else:
         return ""
-    inner = [False] * n  # inside or itself an element that names the article
-    for i in range(1, n):
-        inner[i] = inner[t.parent[i]] or t.tag[i] in ("article", "main")
     named = [i for i in range(1, n) if inner[i] and not inner[t.parent[i]] and score[i] > 0]
     up = best
     while up > 0 and t.tag[up] not in ("article", "main"):
         up = t.parent[up]
     if up <= 0 and len(named) == 1:
-        up = named[0]
+        plain = scores(least, lists=False)
+        if p.named * plain[named[0]] >= max(plain[i] for i in range(n) if not inner[i]):
+            up = named[0]
     if up > 0:  # the page names its article
         score[up] = max(score[up], score[best]) if inner[best] else score[up]
         best = up
@@ -196,8 +208,10 @@ def main_text(html: str | None, p: Params = Params()) -> str:
         if best and i != best and t.parent[i] == t.parent[best] and chars[i]:
             dense = linked[i] / chars[i]
             strong, part = score[i] >= max(4.0, p.sibling * score[best]), t.tag[i] in BESIDE and dense < p.link_density
-            if titled[i] == chars[i] and dense < p.link_density or [best] != named and (strong or part):
-                chosen.add(i)  # beside a page's only article nothing but its title
+            if [best] == named:  # beside a page's only article no lists and nothing short but its title
+                strong, part = strong and t.tag[i] not in LISTS, False
+            if titled[i] == chars[i] and dense < p.link_density or strong or part:
+                chosen.add(i)
     inside = [False] * n
     for i in range(n):
         menu = t.tag[i] in BLOCK and i not in chosen and not inner[i] and links[i] >= p.menu_links and linked[i] >= p.menu_density * chars[i]

@@ -42,6 +42,26 @@ def test_pages(body, text):
     assert h.main_text(page(body)) == text
 
 
+PAGE = "".join(f"<p>{LONG} {i}</p>" for i in range(20))
+TEXT = " ".join(f"{LONG} {i}" for i in range(20))
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        # a teaser is the page's only article element: before, behind and inside the text
+        (f"<article class=card><p>{LONG}</p></article><div id=content>{PAGE}</div>", TEXT),
+        (f"<div id=content>{PAGE}</div><section><article class=card><h2>T</h2><p>{LONG}</p></article></section>", TEXT),
+        (f"<div id=content>{PAGE}<article class=card><p>{LONG}</p></article></div>", f"{TEXT} {LONG}"),
+        # a sibling that scores beside the article, and one that doesn't
+        (f"<article>{PAGE}</article><div>{PAGE}</div><div><p>{LONG}</p></div>", f"{TEXT} {TEXT}"),
+        (f"<article>{PAGE}</article><ol class=thread>" + f"<li><p>{LONG} {LONG}</p>" * 60 + "</ol>", TEXT),
+    ],
+)
+def test_only_article_against_scores(body, text):
+    assert h.main_text(page(body)) == text
+
+
 def test_fragments_and_broken_markup():
     assert h.main_text(None) == h.main_text("") == h.main_text("<script>x") == h.main_text("<!-- x") == ""
     assert h.main_text("just text") == "just text"
