@@ -31,6 +31,8 @@ class Params:
     link_density: float = 0.25
     #: How many times the score of a page's only article element counts against containers outside it.
     named: float = 2.0
+    #: Share of a page's unlinked text from which an element is a wrapper, whatever its name.
+    wrapper: float = 0.7
     #: Links from which a block inside the container that is nothing but links is a menu, and the share that makes it one.
     menu_links: int = 3
     menu_density: float = 0.9
@@ -43,12 +45,14 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
 ENDS_P = BLOCK - frozenset("body html li dd dt td th tr tbody thead tfoot caption summary".split())
-DROP = frozenset("head script style title textarea noscript iframe noembed noframes xmp template svg math object applet canvas audio video nav footer aside form button select option datalist dialog menu fieldset label".split())
+DROP = frozenset("head script style title textarea noscript iframe noembed noframes xmp template svg math object applet canvas audio video nav footer aside button select option datalist dialog menu fieldset label".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar tooltip status form".split())
 #: Words of class and id attributes that mark what isn't the article.
 DROP_WORDS = frozenset(
     "ad adblock adbox adslot adunit ads adv advert adverts advertisement advertising adsense alert alerts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright discussion discussions disqus feedback footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices notification outbrain overlay pagination pager paywall popup privacy promo promoted promotion recommended related replies reply respond response responses share sharing sidebar sidenav signup skip social sponsor sponsored subnav subscribe subscription taboola toolbar topbar topnav widget widgets".split()
 )
+#: Those that mark what readers wrote, which can be longer than the article.
+TALK_WORDS = frozenset("comment comments commentlist discussion discussions disqus feedback replies reply respond response responses".split())
 #: Words that make a "header" the article's own.
 OWN_WORDS = frozenset("article content entry post story".split())
 #: Elements that a class name alone doesn't take out.
@@ -67,32 +71,37 @@ MARKS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[
 PIECES = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
-def unwanted(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element can't be part of the article."""
+#: Why an element is taken out: for good; or by a name, of readers' words or other ones, unless it turns out to be a wrapper.
+ALWAYS, TALK, NAME = 3, 2, 1
+
+
+def unwanted(tag: str, attrs: str, in_article: bool) -> int:
+    """Why an element can't be part of the article; 0 if it can."""
     if tag in DROP or (tag == "header" and not in_article):
-        return True
+        return ALWAYS
+    out = NAME if tag == "form" else 0
     if not attrs or tag == "html":
-        return False
+        return out
     for m in MARKS.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return ALWAYS
         if name == "role" and value.lower() in DROP_ROLES:
-            return True
+            return ALWAYS
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return ALWAYS
         if name in ("class", "id") and (tag not in SAFE or (tag == "article" and in_article)):
             names = {w.lower() for w in PIECES.findall(value)}
-            if names & DROP_WORDS - ({"header"} if in_article or names & OWN_WORDS else set()):
-                return True
-    return False
+            if found := names & DROP_WORDS - ({"header"} if in_article or names & OWN_WORDS else set()):
+                out = max(out, TALK if found & TALK_WORDS else NAME)
+    return out
 
 
 class Tree:
-    """Elements in page order, each after its parent, and the pieces of text that aren't taken out."""
+    """Elements in page order, each after its parent, why each is unwanted, and the pieces of text not taken out for good."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.kept = ["#root"], [-1], [True]
+        self.tag, self.parent, self.kept, self.why = ["#root"], [-1], [True], [0]
         self.pieces: list[tuple[int, str]] = []  # (element, text); a blank text stands for a break
         stack, at, end = [0], 0, len(html)
         article = 0  # open article or main elements
@@ -128,7 +137,7 @@ class Tree:
                     if t in ends[1]:
                         break
             attrs = m[3] if m[2] else m[6]
-            keep = self.kept[stack[-1]] and not unwanted(tag, attrs, article > 0)
+            why = unwanted(tag, attrs, article > 0)
             if tag in RAW:
                 if attrs.endswith("/") and tag in ("svg", "math"):
                     continue
@@ -139,21 +148,66 @@ class Tree:
                 continue
             self.tag.append(tag)
             self.parent.append(stack[-1])
-            self.kept.append(keep)
+            self.kept.append(self.kept[stack[-1]] and why != ALWAYS)
+            self.why.append(why)
             stack.append(len(self.tag) - 1)
             article += tag in ("article", "main")
 
 
+def dropped(t: Tree, p: Params) -> list[bool]:
+    """Whether each element is in one that is unwanted by its name and is no wrapper of the page's text.
+
+    A wrapper holds most of the unlinked text; if there is an article element beside it, it holds that much in blocks.
+    What is named after readers' words must also hold an h1 or main; other readers' words aren't counted."""
+    n = len(t.tag)
+    link, talk, holds, mass = [False] * n, [False] * n, [False] * n, [0] * n
+    block, direct, named, articles = [0] * n, [0] * n, [False] * n, [0] * n
+    for i in range(1, n):
+        link[i] = t.tag[i] == "a" or link[t.parent[i]]
+        block[i] = i if t.tag[i] in BLOCK else block[t.parent[i]]
+        named[i] = named[t.parent[i]] or t.why[i] in (NAME, TALK)
+        articles[i] = int(t.kept[i] and t.tag[i] in ("article", "main"))
+        holds[i] = t.kept[i] and t.tag[i] in ("h1", "main")
+    free = any(articles[i] and not named[i] for i in range(n))
+    for i in range(n - 1, 0, -1):
+        holds[t.parent[i]] |= holds[i]
+        articles[t.parent[i]] += articles[i]
+    for i in range(1, n):
+        talk[i] = talk[t.parent[i]] or (t.why[i] == TALK and not holds[i])
+    for i, text in t.pieces:
+        if not link[i] and not talk[i]:
+            k = len("".join(text.split()))
+            mass[i] += k
+            direct[block[i]] += k
+    for i in range(n - 1, 0, -1):
+        mass[t.parent[i]] += mass[i]
+    out = [False] * n
+    for i in range(1, n):
+        own = mass[i] - direct[i] if free and not articles[i] and not holds[i] else mass[i]
+        by_name = t.why[i] in (NAME, TALK) and (talk[i] or not own or own < p.wrapper * mass[0])
+        out[i] = out[t.parent[i]] or by_name
+    return out
+
+
 def main_text(html: str | None, p: Params = Params()) -> str:
     """The article of a page as one line of text; empty if there is none."""
     t = Tree(html or "")
+    if not any(t.why[i] in (NAME, TALK) for i in range(len(t.tag))):
+        return scored_text(t, t.pieces, p)
+    out = dropped(t, p)
+    text = scored_text(t, [(i, x) for i, x in t.pieces if not out[i] or x == " "], p)
+    return text or scored_text(t, t.pieces, p)  # the names left nothing
+
+
+def scored_text(t: Tree, pieces: list[tuple[int, str]], p: Params) -> str:
+    """The best container of some of the tree's pieces and what is kept beside it."""
     n = len(t.tag)
     block, link = [0] * n, [False] * n  # nearest block around (or itself); inside a link
     for i in range(1, n):
         block[i] = i if t.tag[i] in BLOCK else block[t.parent[i]]
         link[i] = t.tag[i] == "a" or link[t.parent[i]]
     chars, linked, commas, own, titled = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
-    for i, text in t.pieces:
+    for i, text in pieces:
         if k := len("".join(text.split())):
             b = block[i]
             own[b] += k
@@ -216,7 +270,7 @@ def main_text(html: str | None, p: Params = Params()) -> str:
     for i in range(n):
         menu = t.tag[i] in BLOCK and i not in chosen and not inner[i] and links[i] >= p.menu_links and linked[i] >= p.menu_density * chars[i]
         inside[i] = i in chosen or (i > 0 and inside[t.parent[i]] and not menu)
-    return " ".join("".join(text if inside[i] else " " for i, text in t.pieces).split())
+    return " ".join("".join(text if inside[i] else " " for i, text in pieces).split())
 
 
 def extract(pages: DataFrame, p: Params = Params()) -> DataFrame:

@@ -62,6 +62,28 @@ def test_only_article_against_scores(body, text):
     assert h.main_text(page(body)) == text
 
 
+SIDE = f"<div class=sidebar><p>{LONG} side</p></div><form><p>{LONG} form</p><input></form>"
+TALK = "<section class=comments>" + f"<p>{LONG} said</p>" * 90 + "</section>"
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        *((f"<div class='{c}'><article>{PAGE}</article>{SIDE}</div>", TEXT) for c in ("site no-sidebar", "content-with-sidebar", "page has-nav", "share-enabled")),
+        (f"<div class='post comments-open'><h1>T</h1><div>{PAGE}</div>{TALK}</div>", f"T {TEXT}"),
+        (f"<div class='page has-nav'><div id=share-enabled>{PAGE}</div>{SIDE}</div>{TALK}", TEXT),
+        (f"<form id=aspnet>{PAGE}<div class=ad>{LONG}</div><input></form>", TEXT),
+        (f"<form id=aspnet><input><div class='site has-nav'><main>{PAGE}</main>{SIDE}</div></form><footer>f</footer>", TEXT),
+        (f"<div>{PAGE}</div>{SIDE}{TALK}", TEXT),
+        (f"<div class=ad>{LONG} {LONG} {LONG}</div><article><p>A short one.</p></article>", "A short one."),
+        # the names leave nothing
+        (f"<div class=sidebar><p>{LONG} 1</p></div><div class=widget><p>{LONG} 2</p></div>", f"{LONG} 1 {LONG} 2"),
+    ],
+)
+def test_wrappers_with_names(body, text):
+    assert h.main_text(page(body)) == text
+
+
 def test_fragments_and_broken_markup():
     assert h.main_text(None) == h.main_text("") == h.main_text("<script>x") == h.main_text("<!-- x") == ""
     assert h.main_text("just text") == "just text"
