@@ -1,9 +1,11 @@
 """Operator 7, line dedup: winnowing over line hashes.
 
-A run of lines is full if it holds ``min_words`` words or ``max_lines`` lines. Grams are the full runs that aren't full
-without their last line, and those that aren't without their first. Every line of a repeated full run is in such a gram
-inside the run: in the first kind from the run's start, or else in the second kind that ends with the line. So with a
-``window`` of 1, where each gram is a fingerprint, all repeated full runs are found to the line, and nothing else is.
+A run of lines is full if it holds ``min_words`` words or ``max_lines`` lines with words. Blank lines are passed over
+when runs are formed and compared; they belong to the run around them or, at an end of the text, beside them. Grams
+are the full runs that aren't full without their last line, and those that aren't without their first. Every line of a
+repeated full run is in such a gram inside the run: in the first kind from the run's start, or else in the second kind
+that ends with the line. So with a ``window`` of 1, where each gram is a fingerprint, all repeated full runs are found
+to the line, and nothing else is.
 
 Fingerprints are joined with the first place in the corpus (by doc_id, then line) of the same gram, and the later gram
 is deleted. All of it is DataFrame expressions: fingerprints are rows, minima are taken before they are shuffled.
@@ -22,7 +24,7 @@ from skein.llm.common import WORD, boxed, cut, table
 
 @dataclass(frozen=True)
 class Params:
-    #: A repeated run counts if it holds so many words, or so many lines.
+    #: A repeated run counts if it holds so many words, or so many lines with words.
     min_words: int = 50
     max_lines: int = 5
     #: Neighbouring grams of which the least is a fingerprint. From 2 on, a run that holds fewer grams can be missed.
@@ -38,7 +40,11 @@ def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
     """row, at and last (first and last line of the gram), f (its hash), one row each."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     out = docs.select("row", lines.alias("lines"))
-    out = out.select("row", line_hashes(F.col("lines")).alias("h"), F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
+    out = out.select("row", "lines", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
+    # pos: places of the lines with words; all else is about these lines alone
+    out = out.withColumn("pos", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("w", i) > 0))
+    some = lambda c: F.when(F.size("pos") < F.size("lines"), F.transform("pos", lambda i: F.get(c, i))).otherwise(F.col(c))
+    out = out.select("row", "pos", F.size("lines").alias("n_lines"), line_hashes(some("lines")).alias("h"), some("w").alias("w"))
     h, w, k = F.col("h"), F.col("w"), p.max_lines
     least = F.lit(p.min_words)
 
@@ -52,17 +58,18 @@ def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
 
     out = out.withColumn("m", F.transform("h", lambda _, i: size(i)))
     # outer: a plain explode would make Spark test the array's size first, and so make it twice
-    places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get("m", i).isNotNull())
-    out = out.select("row", "h", "w", "m", F.explode_outer(places).alias("at")).filter("at is not null")
+    places = F.filter(F.transform("m", lambda _, i: i), lambda i: F.get("m", i).isNotNull())
+    out = out.select("row", "pos", "n_lines", "h", "m", F.explode_outer(places).alias("at")).filter("at is not null")
     # from m lines on the run is full; up to m of the next line it isn't without its first
     at, m = F.col("at"), F.get("m", F.col("at"))
     most = F.least(F.coalesce(F.get("m", at + 1), F.lit(k)), F.lit(k), F.size("h") - at)
-    out = out.select("row", "h", "w", "at", F.explode(F.sequence(m, F.greatest(m, most))).alias("n"))
+    out = out.select("row", "pos", "n_lines", "h", "at", F.explode(F.sequence(m, F.greatest(m, most))).alias("n"))
     n = F.col("n")
     part = lambda a, j: F.when(n > j, F.get(a, at + j))
-    in_words = sum((F.coalesce(part(w, j), F.lit(0)) for j in range(k)), F.lit(0))
-    # a run of blank lines alone isn't one
-    out = out.filter(in_words > 0).select("row", "at", (at + n - 1).alias("last"), F.xxhash64(n, *(part(h, j) for j in range(k))).alias("f"))
+    end = at + n
+    low = F.when(at == 0, 0).otherwise(F.get("pos", at))
+    last = F.when(end == F.size("h"), F.col("n_lines")).otherwise(F.get("pos", end - 1) + 1) - 1
+    out = out.select("row", low.alias("at"), last.alias("last"), F.xxhash64(n, *(part(h, j) for j in range(k))).alias("f"))
     return winnowed(out, p.window) if p.window > 1 else out
 
 

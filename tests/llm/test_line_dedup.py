@@ -102,6 +102,16 @@ def test_equals_all_runs(spark):
         seen.update(first)
 
 
+def test_blank_lines(spark):
+    """They count for nothing, are passed over in comparing, and go with the run around them."""
+    run_ = [words(f"r{j}_", 3) for j in range(5)]
+    heads = "own{0}\n\n\nReferences\n \n\nmore{0}\n\n\n\nSee also\n\nend{0}"
+    docs = [(k, heads.format(k)) for k in range(3)]
+    docs += [(3, "a3\n\n" + "\n\n".join(run_) + "\n\nb3"), (4, "a4\n\n" + "\n\n\n".join(run_) + "\n\nb4"), (5, "\n\n" + "\n".join(run_) + "\n\n")]
+    got = {r.doc_id: (r.text, r.n_deleted) for r in run(spark, docs)}
+    assert got == {**{k: (t, 0) for k, t in docs[:4]}, 4: ("a4\n\n\nb4", 13), 5: ("", 9)}
+
+
 def test_edges(spark):
     a = words("a", 60)
     rows = run(spark, [(1, None), (2, ""), (3, "\n\n\n\n\n\n\n"), (4, "\n\n\n\n\n\n\n"), (None, a), (5, a), (6, a), (6, a)])
