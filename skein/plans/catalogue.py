@@ -261,4 +261,5 @@ def chunk_records(spark, d):
 @query()
 def token_labels(spark, d):
     rows = prompt.with_prompt(_turns(spark, d), EOS)
-    return prompt.token_labels(rows, cap=256).select("conv_id", "turn", "tokens", "labels", "n_tokens", prompt.over_cap(F.col("n_tokens"), 256).alias("over_cap"))
+    cap = Config().max_seq_length
+    return prompt.token_labels(rows, cap=cap).select("conv_id", "turn", "tokens", "labels", "n_tokens", prompt.over_cap(F.col("n_tokens"), cap).alias("over_cap"))

@@ -31,3 +31,9 @@ def test_places_do_not_depend_on_partitions(spark, sf_dir):
         assert places("1") == places("7") == places("4")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_token_labels_are_cut_at_the_configured_length(spark, sf_dir):
+    rows = QUERIES["token_labels"](spark, sf_dir).collect()
+    assert max(r.n_tokens for r in rows) > 256
+    assert all(len(r.tokens) == len(r.labels) == min(r.n_tokens, 8192) and r.over_cap == (r.n_tokens > 8192) for r in rows)
