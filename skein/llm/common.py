@@ -13,11 +13,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder the cluster shares (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    """The folder the cluster shares (``spark.checkpoint.dir``). Where that is unset, a temporary one if all of Spark runs
+    on this machine; on a cluster that is an error, since executors and driver don't share local folders."""
     sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not shared:
-        shared = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="skein-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="skein-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared)
     return shared
@@ -44,8 +47,8 @@ def boxed(df: DataFrame, *but: str) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in low))
 
 
-#: Ids up to this number are broadcast (some 16 MB); more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Ids up to this number are broadcast (some 20 MB in Spark's memory); more are joined by a shuffle.
+BROADCAST_IDS = 250_000
 
 
 def only(rows: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_IDS) -> DataFrame:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from skein.llm.common import cut
 
 
+#: Nodes that a task holds at once.
+NODES = 1_000_000
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links of one partition -> a star for each tree of them: same components, no more rows than nodes."""
     up: dict[int, int] = {}
@@ -20,13 +24,19 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             up[x] = x = up[p]
         return x
 
+    def stars() -> pd.DataFrame:
+        rows = [(x, root(x)) for x in list(up) if root(x) != x]
+        return pd.DataFrame(rows, columns=["u", "v"]).astype("int64")
+
     for b in batches:
         for x, y in zip(b["u"].tolist(), b["v"].tolist()):
             x, y = root(x), root(y)
             if x != y:
                 up[max(x, y)] = min(x, y)
-    rows = [(x, root(x)) for x in list(up) if root(x) != x]
-    yield pd.DataFrame(rows, columns=["u", "v"]).astype("int64")
+        if len(up) > NODES:
+            yield stars()
+            up.clear()
+    yield stars()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,30 +7,35 @@
 3. Candidates are compared by batches of signature positions. After each batch the posterior probability of a
    similarity at or over the threshold, under a uniform prior, is bounded from below by ``miss``; pairs under it go.
 4. Survivors are verified exactly on the full sets of both texts.
-5. Buckets whose members are then still in different components are gone through in tiles of bounded size: each pair of
-   different components is compared in the first bucket that it shares, and verified there and then. Only links leave a
-   tile, and no link between components is lost.
+5. Buckets whose members are then still in different components are gone through in tiles of bounded size, which hold
+   signatures and no texts: each pair of different components is compared in the first bucket that it shares. Only pairs
+   that outlast all batches leave a tile; they are verified like those of step 4, and no link between components is lost.
 
-Texts of sizes that rule the threshold out are never compared.
+Texts of sizes that rule the threshold out are never compared. Texts are read as Arrow values one at a time, so a task
+holds one batch of them and one set or two.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, only, table
+from skein.llm.common import WORD, boxed, cut, only, table
 from skein.llm.components import components
 
-CACHE_WORDS = 500_000
+#: Words a worker remembers before it starts afresh, if they are no longer than so many bytes; bytes split at once.
+CACHE_WORDS, LONG_WORD, CHUNK = 1 << 17, 32, 1 << 20
+#: Pairs compared at once.
+PAIRS = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -44,8 +49,8 @@ class Params:
     #: Chosen probability that pruning drops a pair at or over the threshold.
     miss: float = 1e-4
     seed: int = 5
-    #: Members of a bucket in one tile.
-    tile: int = 512
+    #: Members of a bucket in one block of a tile; a tile has two, of some 400 bytes a member.
+    tile: int = 4096
 
     @property
     def size(self) -> int:
@@ -54,14 +59,17 @@ class Params:
 
 class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
+        out = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONG_WORD:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = out
         return out
 
 
 _words = WordHash()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,14 +79,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's n-word shingles; of its whole sequence if shorter; empty without words.
+def word_hashes(text: str | None) -> np.ndarray:
+    """A text's words as 64-bit hashes. Only A-Z are lower-cased and only the six ASCII separators split, which is what
+    bytes do; a very long text is split a stretch at a time."""
+    raw, out, at = (text or "").encode("utf-8", "surrogatepass").lower(), [], 0
+    while at < len(raw):
+        end = at + CHUNK
+        if end < len(raw):
+            m = _SPACE.search(raw, end)
+            end = m.start() if m else len(raw)
+        ws = raw[at:end].split()
+        out.append(np.fromiter(map(_words.__getitem__, ws), np.uint64, len(ws)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
 
-    Only A-Z are lower-cased and only the six ASCII separators split, which is what bytes do."""
-    ws = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not ws:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, ws), np.uint64, len(ws))
+def shingles(text: str | None, n: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's n-word shingles; of its whole sequence if shorter; empty without words."""
+    h = word_hashes(text)
+    if not len(h):
+        return h
     n = min(n, len(h))
     out = h[: len(h) - n + 1].copy()
     for k in range(1, n):
@@ -110,8 +130,8 @@ def band_keys(sigs: np.ndarray, p: Params) -> np.ndarray:
     return out.view(np.int64)
 
 
-def grid(sigs, p: Params) -> np.ndarray:
-    return np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, p.size)
+def grid(sigs: pa.Array, p: Params) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs.to_pylist()), np.uint16).reshape(-1, p.size)
 
 
 @cache
@@ -128,12 +148,12 @@ def least_matches(p: Params) -> tuple[int, ...]:
     return tuple(out)
 
 
-def likely(x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
-    """For rows of signatures: indices of the pairs that outlast all batches."""
-    at, same = np.arange(len(x)), np.zeros(len(x), np.int32)
+def likely(x: np.ndarray, y: np.ndarray, r: np.ndarray, t: np.ndarray, p: Params) -> np.ndarray:
+    """Of the pairs (x[r], y[t]) of signatures: indices of those that outlast all batches."""
+    at, same = np.arange(len(r)), np.zeros(len(r), np.int32)
     for k, least in enumerate(least_matches(p)):
         cols = slice(k * p.batch, (k + 1) * p.batch)
-        same = same + (x[at, cols] == y[at, cols]).sum(axis=1, dtype=np.int32)
+        same = same + (x[r[at], cols] == y[t[at], cols]).sum(axis=1, dtype=np.int32)
         stay = same >= least
         at, same = at[stay], same[stay]
     return at
@@ -145,32 +165,33 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def sketch(docs: DataFrame, p: Params) -> DataFrame:
-    """doc_id, n_shingles, fingerprint halves f1 and f2, and signature (null for an empty set)."""
+    """doc_id, n_shingles, fingerprint halves f1 and f2, and signature (null for an empty set), with h1 and h2 as they
+    are."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for t in b["text"]:
-                s = shingles(t, p.words)
-                if not len(s):
-                    rows.append((0, 0, 0, None))
-                    continue
-                f = xxhash.xxh3_128_digest(s.tobytes())
-                rows.append((len(s), *np.frombuffer(f, np.int64).tolist(), signature(s, p).tobytes()))
-            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sig"])
-            out.insert(0, "doc_id", b["doc_id"].astype("Int64").array)
-            yield out
-
-    kinds = "doc_id long, n_shingles long, f1 long, f2 long, sig binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, kinds)
+            n, f, sigs = [], np.zeros((len(b), 2), np.int64), []
+            for i, t in enumerate(b.column("text")):
+                s = shingles(t.as_py(), p.words)
+                n.append(len(s))
+                sigs.append(signature(s, p).tobytes() if len(s) else None)
+                if len(s):
+                    f[i] = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+            own = [pa.array(n, pa.int64()), pa.array(f[:, 0]), pa.array(f[:, 1]), pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h1"), b.column("h2"), *own], names=names)
+
+    kinds = "doc_id long, h1 long, h2 long, n_shingles long, f1 long, f2 long, sig binary"
+    names = [k.split()[0] for k in kinds.split(", ")]
+    return docs.select("doc_id", "h1", "h2", "text").mapInArrow(run, kinds)
 
 
 def bands_of(reps: DataFrame, p: Params) -> DataFrame:
     """(key, doc_id) of every band of every signature."""
 
-    @F.pandas_udf("array<long>")
-    def keys(sigs: pd.Series) -> pd.Series:
-        return pd.Series(list(band_keys(grid(sigs, p), p)), dtype=object)
+    @F.arrow_udf("array<long>")
+    def keys(sigs: pa.Array) -> pa.Array:
+        flat = band_keys(grid(sigs, p), p).reshape(-1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(sigs) + 1, dtype=np.int32) * p.bands), pa.array(flat))
 
     return reps.select(F.explode(keys("sig")).alias("key"), "doc_id")
 
@@ -183,12 +204,13 @@ def sizes_fit(x, y, p: Params):
 def likely_pairs(pairs: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
     """The (a, b) pairs that neither sizes nor the posterior rule out."""
 
-    @F.pandas_udf("boolean")
-    def keep(x: pd.Series, y: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def keep(x: pa.Array, y: pa.Array) -> pa.Array:
         out = np.zeros(len(x), bool)
         if len(x):
-            out[likely(grid(x, p), grid(y, p), p)] = True
-        return pd.Series(out)
+            every = np.arange(len(x))
+            out[likely(grid(x, p), grid(y, p), every, every, p)] = True
+        return pa.array(out)
 
     of = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b").filter(sizes_fit(F.col("n_a"), F.col("n_b"), p))
@@ -198,18 +220,19 @@ def likely_pairs(pairs: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
 def exact_links(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """The (a, b) pairs whose full shingle sets reach the threshold."""
 
-    @F.pandas_udf("boolean")
-    def test(x: pd.Series, y: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def test(x: pa.Array, y: pa.Array) -> pa.Array:
         out, last, s = np.zeros(len(x), bool), None, None
-        for i, (t, u) in enumerate(zip(x, y)):
-            if last is not t and last != t:  # pairs of one text come in a row
+        for i in range(len(x)):
+            t = x[i].as_py()
+            if last != t:  # pairs of one text come in a row
                 last, s = t, shingles(t, p.words)
-            out[i] = linked(s, shingles(u, p.words), p.percent)
-        return pd.Series(out)
+            out[i] = linked(s, shingles(y[i].as_py(), p.words), p.percent)
+        return pa.array(out)
 
     texts = only(docs.select("doc_id", "text"), pairs.selectExpr("explode(array(a, b)) doc_id"), "doc_id")
     of = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    return pairs.join(of("b"), "b").join(of("a"), "a").filter(test("text_a", "text_b")).select("a", "b")
+    return pairs.join(of("b"), "b").join(of("a"), "a").filter(test("text_a", "text_b")).select("a", "b").distinct()
 
 
 def hubs(buckets: DataFrame) -> DataFrame:
@@ -219,8 +242,44 @@ def hubs(buckets: DataFrame) -> DataFrame:
     return buckets.join(degree, "doc_id").groupBy("key").agg(best.alias("m")).select("key", (-F.col("m.col2")).alias("hub"))
 
 
-def cross_links(buckets: DataFrame, docs: DataFrame, reps: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
-    """The links (a, b) between different components within a bucket, each found in the first bucket that it shares."""
+def tile_pairs(tid, block, same_block, ids, comp, size, sigs, keys, p: Params) -> list[tuple[int, int]]:
+    """Of rows sorted by tile, size and id: the pairs of one tile, but of different components (and, in a tile of two
+    blocks, of different blocks), that outlast all batches and share no bucket before the tile's."""
+    at = np.arange(len(ids))
+    # by size, so the partners of a row that are as large and fit are a stretch behind it
+    order = tid << np.int64(40)
+    most = np.minimum(100 * size // p.percent, (1 << 40) - 1)
+    rest = np.searchsorted(order + size, order + most, side="right") - at - 1
+    found, held, n, d = [], [], 0, 1
+
+    def flush() -> None:
+        x, y = (np.concatenate(k) for k in zip(*held))
+        for k in range(0, len(x), PAIRS):
+            r, t = x[k : k + PAIRS], y[k : k + PAIRS]
+            ok = likely(sigs, sigs, r, t, p)
+            r, t = r[ok], t[ok]
+            first = (sigs[r] == sigs[t]).reshape(-1, p.bands, p.rows).all(axis=2).argmax(axis=1)
+            here = band_keys(sigs[r], p)[np.arange(len(r)), first] == keys[r]
+            found.extend(zip(np.minimum(ids[r], ids[t])[here].tolist(), np.maximum(ids[r], ids[t])[here].tolist()))
+
+    act = at[rest >= 1]
+    while len(act):
+        ok = (comp[act] != comp[act + d]) & (same_block[act] | (block[act] != block[act + d]))
+        if ok.any():
+            held.append((act[ok], act[ok] + d))
+            n += len(held[-1][0])
+        if n >= PAIRS:
+            flush()
+            held, n = [], 0
+        d += 1
+        act = act[rest[act] >= d]
+    if held:
+        flush()
+    return found
+
+
+def cross_pairs(buckets: DataFrame, reps: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) of different components in a bucket that the posterior doesn't rule out."""
     comp = F.coalesce("component", "doc_id")
     own = buckets.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", comp.alias("comp"))
     mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).filter("low < high")
@@ -228,63 +287,88 @@ def cross_links(buckets: DataFrame, docs: DataFrame, reps: DataFrame, comps: Dat
     own = own.join(mixed.select("key", F.ceil(F.col("n") / p.tile).cast("int").alias("blocks")), "key")
     own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = cut(own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "comp"))
-    texts = only(docs.select("doc_id", "text"), own.select("doc_id"), "doc_id")
-    own = own.join(reps.select("doc_id", "n_shingles", "sig").join(texts, "doc_id"), "doc_id")
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_shingles", "doc_id"])
-        sigs = grid(rows["sig"], p)
-        ids, comp, block, size = (rows[c].to_numpy() for c in ("doc_id", "comp", "block", "n_shingles"))
-        # by size, so the partners of a member that are as large and fit are a stretch behind it
-        ends = np.searchsorted(100 * size, 10_000 * size // p.percent, side="right") if len(size) else size
-        text, found = rows["text"].tolist(), []
-        sets = cache(lambda r: shingles(text[r], p.words))  # of those that come to it, once a tile
-        for r in range(len(ids)):
-            with_ = slice(r + 1, ends[r])
-            at = r + 1 + np.flatnonzero((comp[with_] != comp[r]) & ((block[with_] != block[r]) | (key[1] == key[2])))
-            if not len(at):
+    own = own.join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
+    own = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "comp", "n_shingles", "sig")
+
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        of = lambda c: t.column(c).to_numpy()
+        key, i, j = of("key"), of("i"), of("j")
+        tid = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        found = tile_pairs(tid, of("block"), i == j, of("doc_id"), of("comp"), of("n_shingles"), grid(t.column("sig"), p), key, p)
+        a, b = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the last tile, which the next batch may go on with
+        for b in batches:
+            if not len(b):
                 continue
-            at = at[likely(np.broadcast_to(sigs[r], (len(at), p.size)), sigs[at], p)]
-            if len(at):
-                alike = (sigs[r] == sigs[at]).reshape(-1, p.bands, p.rows).all(axis=2)
-                own = band_keys(sigs[r], p)[0]
-                at = at[own[alike.argmax(axis=1)] == key[0]]
-                found += [(min(ids[r], ids[x]), max(ids[r], ids[x])) for x in at if linked(sets(r), sets(x), p.percent)]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
-
-    return own.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
-
-
-def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (doc_id = component_id), one row per row of ``docs``.
-
-    Documents without words link with nothing and are their own component. Rows that share an id are judged one by one,
-    and a link with either goes by that id. A null id links with nothing: component_id is null and kept is true. An empty table gives no rows;
-    other columns are ignored."""
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([rest, t]) if rest is not None else t
+            name = [t.column(c).to_numpy() for c in ("key", "i", "j")]
+            other = np.flatnonzero(np.any([x != x[-1] for x in name], axis=0))
+            whole = int(other[-1]) + 1 if len(other) else 0
+            if whole:
+                yield pairs(t.slice(0, whole))
+            rest = t.slice(whole).combine_chunks()
+        if rest is not None:
+            yield pairs(rest)
+
+    dealt = own.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n_shingles", "doc_id")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def members(docs: DataFrame, p: Params) -> DataFrame:
+    """doc_id, h1, h2, n_shingles, f1, f2 and component_id for each row of ``docs`` (doc_id, text, h1, h2)."""
     sk = cut(sketch(docs, p))
     # cut, so that it meets the rows by a shuffle of its own, which can split a set that very many rows have
     first = cut(sk.filter("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep")))
-    member = sk.select("doc_id", "n_shingles", "f1", "f2").join(first, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
-    member = cut(member)
+    member = sk.drop("sig").join(first, ["f1", "f2", "n_shingles"], "left")
+    member = cut(member.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))))
     # one row for each class: the others of it are of no further use
     same = (sk["f1"] == first["f1"]) & (sk["f2"] == first["f2"]) & (F.col("doc_id") == F.col("rep"))
-    reps = cut(sk.join(first.select("f1", "f2", "rep"), same).select("doc_id", "n_shingles", "sig"))
+    reps = sk.join(first.select("f1", "f2", "rep"), same).select("doc_id", "n_shingles", "sig")
+    reps = cut(reps.dropDuplicates(["doc_id", "sig"]))
     keys = bands_of(reps, p)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = cut(keys.join(shared, "key"))
     star = buckets.join(hubs(buckets), "key").filter("doc_id <> hub").select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
-    tested = cut(likely_pairs(star, reps, p))
-    links = cut(exact_links(tested, docs, p))
-    comps = components(links.unionByName(cross_links(buckets.select("key", "doc_id"), docs, reps, components(links), p)))
-    out = member.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    links = cut(exact_links(cut(likely_pairs(star, reps, p)), docs, p))
+    rest = cut(cross_pairs(buckets.select("key", "doc_id"), reps, components(links), p))
+    comps = components(links.unionByName(exact_links(rest, docs, p)))
+    out = member.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    return out.select("doc_id", "h1", "h2", "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (doc_id = component_id), one row per row of ``docs``.
+
+    Documents without words link with nothing and are their own component. Rows that share an id are judged one by one,
+    and a link with either goes by that id. A null id links with nothing: component_id is null and kept is true. An empty table gives no rows;
+    other columns are ignored."""
+    none = F.lit(0).cast("long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", none.alias("h1"), none.alias("h2"))
+    out = members(rows, p).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_first(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """``docs`` with one document of each group: the one of the smallest id, in all its columns."""
-    kept = near_duplicates(docs, p).filter("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+    """``docs`` with one document of each group, in all its columns: that of the smallest id.
+
+    Of rows of one id and one set of shingles one stays. A row of null id takes part by a number of its text over 2^62,
+    and so is kept only where no row with an id is in its group. Rows of one id but different sets stay or go together.
+    Rows without words stay, repeated or not. An empty table gives no rows."""
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    h1, h2 = F.xxhash64("text"), F.xxhash64("text", F.lit(2))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(h1, 2).bitwiseOR(F.lit(1 << 62)))
+    rows = docs.filter(has_words).select(boxed(docs).alias("r"), key.alias("doc_id"), "text", h1.alias("h1"), h2.alias("h2"))
+    member = members(rows.select("doc_id", "text", "h1", "h2"), p).filter("doc_id = component_id")
+    one = F.min(F.struct("h1", "h2")).alias("m")  # of the texts of one id and set
+    kept = member.groupBy("doc_id", "f1", "f2", "n_shingles").agg(one).select("doc_id", "m.h1", "m.h2")
+    by = ["doc_id", "h1", "h2"]
+    # repeated rows meet before the shuffle, and in order for the join
+    out = rows.select("r", *by).dropDuplicates(by).join(kept, by, "left_semi").select("r.*")
+    return out.unionByName(docs.filter(~has_words))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -72,7 +72,43 @@ def test_edges(spark):
     assert rows == {1: (4, 1), 2: (4, 1), None: (4, None)}
     assert m.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = spark.createDataFrame([(2, "a b c d e f", "x"), (1, "a b c d e f", "y"), (None, "a b c d e f", "z"), (3, None, "u")], "doc_id long, text string, rep string")
-    assert sorted((r.rep) for r in m.keep_first(docs).collect()) == ["u", "y", "z"]
+    assert sorted((r.rep) for r in m.keep_first(docs).collect()) == ["u", "y"]
+
+
+def test_one_of_each_group_stays(spark):
+    a, b, c = "a b c d e f g h", "one two three four five six", "to be or not to be that is"
+    rows = [(7, a, "x"), (7, a, "x"), (7, c, "own"), (None, a, "y"), (None, b, "z"), (None, b, "z"), (None, b + " ", "z"), (None, "", "e"), (None, "", "e"), (8, None, "e"), (9, a.upper(), "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h1 string")
+    out = m.keep_first(docs)
+    assert out.columns == docs.columns
+    assert sorted(r.h1 for r in out.collect()) == ["e", "e", "e", "own", "x", "z"]
+    assert m.keep_first(docs.limit(0)).count() == 0
+
+
+def test_hot_bucket_of_unlike_documents(spark):
+    """20,000 signatures of one bucket in several tiles: links alone leave them, each once."""
+    p, rng, n = m.Params(), np.random.default_rng(3), 20_000
+    sigs = rng.integers(0, 1 << 16, (n, p.size), np.uint16)
+    sigs[:, : p.rows] = 7
+    sigs[1::1000] = sigs[::1000]  # twenty pairs that are alike, and a hundred unlike ones in a bucket of their own besides
+    sigs[100:200, p.rows : 2 * p.rows] = 9
+    reps = spark.createDataFrame([(i, 100, s.tobytes()) for i, s in enumerate(sigs)], "doc_id long, n_shingles long, sig binary").repartition(8)
+    shared = m.bands_of(reps, p)
+    buckets = shared.join(shared.groupBy("key").count().filter("count > 1"), "key").select("key", "doc_id")
+    none = spark.createDataFrame([], "node long, component long")
+    got = sorted(map(tuple, m.cross_pairs(buckets, reps, none, p).collect()))
+    assert got == [(i, i + 1) for i in range(0, n, 1000)]
+    joined, few = spark.createDataFrame([(1, 0)], "node long, component long"), "doc_id < 50"
+    assert m.cross_pairs(buckets.filter(few), reps.filter(few), joined, p).count() == 0
+
+
+def test_both_ways_of_finding_texts(spark):
+    """Few ids are broadcast, many are met by a shuffle: the same rows."""
+    from skein.llm.common import only
+
+    rows, ids = spark.range(1000).withColumnRenamed("id", "doc_id"), spark.createDataFrame([(5,), (5,), (900,), (None,)], "doc_id long")
+    for limit in (100, 1):
+        assert sorted(r.doc_id for r in only(rows, ids, "doc_id", limit).collect()) == [5, 900]
 
 
 def test_estimates_and_bounds():
