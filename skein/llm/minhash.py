@@ -8,8 +8,10 @@
    similarity at or over the threshold, under a uniform prior, is bounded from below by ``miss``; pairs under it go.
 4. Survivors are verified exactly on the full sets of both texts.
 5. Buckets whose members are then still in different components are gone through in tiles of bounded size, which hold
-   signatures and no texts: each pair of different components is compared in the first bucket that it shares. Only pairs
-   that outlast all batches leave a tile; they are verified like those of step 4, and no link between components is lost.
+   signatures and no texts: each pair of different components is compared in the first bucket that it shares. Members
+   that have a pair which outlasts all batches get their texts, in the same tiles, and such pairs are verified there
+   until their components are one. Only members and links leave a tile, never pairs, and no link between components is
+   lost.
 
 Texts of sizes that rule the threshold out are never compared. Texts are read as Arrow values one at a time, so a task
 holds one batch of them and one set or two.
@@ -34,8 +36,8 @@ from skein.llm.components import components
 
 #: Words a worker remembers before it starts afresh, if they are no longer than so many bytes; bytes split at once.
 CACHE_WORDS, LONG_WORD, CHUNK = 1 << 17, 32, 1 << 20
-#: Pairs compared at once.
-PAIRS = 1 << 15
+#: Pairs compared at once, and shingles of the sets that a tile keeps for further pairs.
+PAIRS, KEPT = 1 << 15, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -49,8 +51,9 @@ class Params:
     #: Chosen probability that pruning drops a pair at or over the threshold.
     miss: float = 1e-4
     seed: int = 5
-    #: Members of a bucket in one block of a tile; a tile has two, of some 400 bytes a member.
+    #: Members of a bucket, and their shingles, in one block of a tile, which has two.
     tile: int = 4096
+    tile_shingles: int = 2_000_000
 
     @property
     def size(self) -> int:
@@ -242,25 +245,27 @@ def hubs(buckets: DataFrame) -> DataFrame:
     return buckets.join(degree, "doc_id").groupBy("key").agg(best.alias("m")).select("key", (-F.col("m.col2")).alias("hub"))
 
 
-def tile_pairs(tid, block, same_block, ids, comp, size, sigs, keys, p: Params) -> list[tuple[int, int]]:
-    """Of rows sorted by tile, size and id: the pairs of one tile, but of different components (and, in a tile of two
-    blocks, of different blocks), that outlast all batches and share no bucket before the tile's."""
-    at = np.arange(len(ids))
+def tile_pairs(t: pa.Table, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Of whole tiles, sorted by tile, size and id: the rows of the pairs of one tile, but of different components (and, in
+    a tile of two blocks, of different blocks), that outlast all batches and share no bucket before the tile's."""
+    key, i, j, block, ids, comp, size = (t.column(c).to_numpy() for c in ("key", "i", "j", "block", "doc_id", "comp", "n_shingles"))
+    sigs, at, same_block = grid(t.column("sig"), p), np.arange(len(ids)), i == j
+    tid = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     # by size, so the partners of a row that are as large and fit are a stretch behind it
     order = tid << np.int64(40)
     most = np.minimum(100 * size // p.percent, (1 << 40) - 1)
     rest = np.searchsorted(order + size, order + most, side="right") - at - 1
-    found, held, n, d = [], [], 0, 1
+    found, held, n, d = [(at[:0], at[:0])], [], 0, 1
 
     def flush() -> None:
         x, y = (np.concatenate(k) for k in zip(*held))
         for k in range(0, len(x), PAIRS):
-            r, t = x[k : k + PAIRS], y[k : k + PAIRS]
-            ok = likely(sigs, sigs, r, t, p)
-            r, t = r[ok], t[ok]
-            first = (sigs[r] == sigs[t]).reshape(-1, p.bands, p.rows).all(axis=2).argmax(axis=1)
-            here = band_keys(sigs[r], p)[np.arange(len(r)), first] == keys[r]
-            found.extend(zip(np.minimum(ids[r], ids[t])[here].tolist(), np.maximum(ids[r], ids[t])[here].tolist()))
+            r, u = x[k : k + PAIRS], y[k : k + PAIRS]
+            ok = likely(sigs, sigs, r, u, p)
+            r, u = r[ok], u[ok]
+            first = (sigs[r] == sigs[u]).reshape(-1, p.bands, p.rows).all(axis=2).argmax(axis=1)
+            here = band_keys(sigs[r], p)[np.arange(len(r)), first] == key[r]
+            found.append((r[here], u[here]))
 
     act = at[rest >= 1]
     while len(act):
@@ -275,28 +280,39 @@ def tile_pairs(tid, block, same_block, ids, comp, size, sigs, keys, p: Params) -
         act = act[rest[act] >= d]
     if held:
         flush()
-    return found
-
-
-def cross_pairs(buckets: DataFrame, reps: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) of different components in a bucket that the posterior doesn't rule out."""
-    comp = F.coalesce("component", "doc_id")
-    own = buckets.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", comp.alias("comp"))
-    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).filter("low < high")
-    # a member of a bucket of n goes to each tile that its block is part of: n / tile of them
-    own = own.join(mixed.select("key", F.ceil(F.col("n") / p.tile).cast("int").alias("blocks")), "key")
-    own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
-    own = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "comp", "n_shingles", "sig")
-
-    def pairs(t: pa.Table) -> pa.RecordBatch:
-        of = lambda c: t.column(c).to_numpy()
-        key, i, j = of("key"), of("i"), of("j")
-        tid = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-        found = tile_pairs(tid, of("block"), i == j, of("doc_id"), of("comp"), of("n_shingles"), grid(t.column("sig"), p), key, p)
-        a, b = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def tile_links(t: pa.Table, p: Params) -> list[tuple[int, int]]:
+    """Links of whole tiles, which have texts, that join components not yet joined in the tile."""
+    x, y = tile_pairs(t, p)
+    ids, comp, size, text = (t.column(c) for c in ("doc_id", "comp", "n_shingles", "text"))
+    ids, comp, size = ids.to_numpy(), comp.to_numpy(), size.to_numpy()
+    up, sets, out, n = {}, {}, [], 0
+
+    def root(c: int) -> int:
+        while (d := up.get(c, c)) != c:
+            c = d
+        return c
+
+    for r, u in sorted(zip(x.tolist(), y.tolist())):
+        a, b = root(comp[r]), root(comp[u])
+        if a == b:
+            continue
+        for k in (r, u):
+            if k not in sets:
+                if n > KEPT:
+                    sets, n = {q: sets[q] for q in (r, u) if q in sets}, 0
+                sets[k] = shingles(text[k].as_py(), p.words)
+                n += int(size[k])
+        if linked(sets[r], sets[u], p.percent):
+            up[max(a, b)] = min(a, b)
+            out.append((min(ids[r], ids[u]), max(ids[r], ids[u])))
+    return out
+
+
+def by_tile(rows: DataFrame, of, kinds: str) -> DataFrame:
+    """``of`` (a function of a table of whole tiles) of all tiles; a task holds a batch of rows and a tile at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # the last tile, which the next batch may go on with
@@ -309,13 +325,36 @@ def cross_pairs(buckets: DataFrame, reps: DataFrame, comps: DataFrame, p: Params
             other = np.flatnonzero(np.any([x != x[-1] for x in name], axis=0))
             whole = int(other[-1]) + 1 if len(other) else 0
             if whole:
-                yield pairs(t.slice(0, whole))
-            rest = t.slice(whole).combine_chunks()
+                yield from of(t.slice(0, whole).combine_chunks()).to_batches()
+            rest = t.slice(whole)
         if rest is not None:
-            yield pairs(rest)
+            yield from of(rest.combine_chunks()).to_batches()
+
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n_shingles", "doc_id")
+    return dealt.mapInArrow(run, kinds)
+
+
+def cross_links(buckets: DataFrame, docs: DataFrame, reps: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) between different components within a bucket that join all that can be joined so."""
+    comp = F.coalesce("component", "doc_id").alias("comp")
+    own = buckets.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", comp)
+    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    own = own.join(mixed.select("key"), "key").join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
+    per = own.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"))
+    blocks = F.ceil(F.greatest(F.col("n") / p.tile, F.least(F.col("all") / p.tile_shingles, F.col("n")))).cast("int")
+    # a member of a bucket of b blocks goes to each tile that its block is part of: b of them
+    own = own.join(per.select("key", blocks.alias("blocks")), "key")
+    own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "comp", "n_shingles", "sig")
+    likely_ones = cut(by_tile(own, lambda t: t.take(pa.array(np.unique(np.concatenate(tile_pairs(t, p))))), own.schema.simpleString()[7:-1]))
+    texts = only(docs.select("doc_id", "text"), likely_ones.select("doc_id"), "doc_id")
+
+    def links(t: pa.Table) -> pa.Table:
+        a, b = zip(*found) if (found := tile_links(t, p)) else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    dealt = own.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n_shingles", "doc_id")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return by_tile(likely_ones.join(texts, "doc_id"), links, "a long, b long").distinct()
 
 
 def members(docs: DataFrame, p: Params) -> DataFrame:
@@ -334,8 +373,7 @@ def members(docs: DataFrame, p: Params) -> DataFrame:
     buckets = cut(keys.join(shared, "key"))
     star = buckets.join(hubs(buckets), "key").filter("doc_id <> hub").select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
     links = cut(exact_links(cut(likely_pairs(star, reps, p)), docs, p))
-    rest = cut(cross_pairs(buckets.select("key", "doc_id"), reps, components(links), p))
-    comps = components(links.unionByName(exact_links(rest, docs, p)))
+    comps = components(links.unionByName(cross_links(buckets.select("key", "doc_id"), docs, reps, components(links), p)))
     out = member.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", "h1", "h2", "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
 

@@ -86,20 +86,35 @@ def test_one_of_each_group_stays(spark):
 
 
 def test_hot_bucket_of_unlike_documents(spark):
-    """20,000 signatures of one bucket in several tiles: links alone leave them, each once."""
+    """20,000 documents in one bucket by their first band, in several tiles: the links of those alike, and nothing else."""
     p, rng, n = m.Params(), np.random.default_rng(3), 20_000
     sigs = rng.integers(0, 1 << 16, (n, p.size), np.uint16)
     sigs[:, : p.rows] = 7
-    sigs[1::1000] = sigs[::1000]  # twenty pairs that are alike, and a hundred unlike ones in a bucket of their own besides
+    sigs[1::1000] = sigs[::1000]  # alike in signature; the texts of every other such pair are alike too
     sigs[100:200, p.rows : 2 * p.rows] = 9
-    reps = spark.createDataFrame([(i, 100, s.tobytes()) for i, s in enumerate(sigs)], "doc_id long, n_shingles long, sig binary").repartition(8)
+    text = [f"{i // 2 if i % 4000 < 2 else i} b c d e f" for i in range(n)]
+    reps = spark.createDataFrame([(i, 2, s.tobytes()) for i, s in enumerate(sigs)], "doc_id long, n_shingles long, sig binary").repartition(8)
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
     shared = m.bands_of(reps, p)
     buckets = shared.join(shared.groupBy("key").count().filter("count > 1"), "key").select("key", "doc_id")
     none = spark.createDataFrame([], "node long, component long")
-    got = sorted(map(tuple, m.cross_pairs(buckets, reps, none, p).collect()))
-    assert got == [(i, i + 1) for i in range(0, n, 1000)]
+    assert sorted(map(tuple, m.cross_links(buckets, docs, reps, none, p).collect())) == [(i, i + 1) for i in range(0, n, 4000)]
     joined, few = spark.createDataFrame([(1, 0)], "node long, component long"), "doc_id < 50"
-    assert m.cross_pairs(buckets.filter(few), reps.filter(few), joined, p).count() == 0
+    assert m.cross_links(buckets.filter(few), docs, reps.filter(few), joined, p).count() == 0
+
+
+def test_group_below_the_threshold_without_its_source(spark):
+    """Many texts, each alike to few others: the components of all pairs, from tiles of any size."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(100)]
+    docs = []
+    for i in range(150):
+        t = list(base)
+        for k in range(3):
+            t[rng.randrange(100)] = f"e{rng.randint(0, 3)}"
+        docs.append((i, " ".join(t)))
+    for p in (m.Params(words=4), m.Params(words=4, tile=32), m.Params(words=4, tile_shingles=500)):
+        assert run(spark, docs, p) == brute(docs, 4)
 
 
 def test_both_ways_of_finding_texts(spark):
