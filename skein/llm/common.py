@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def stretches(text: str | None, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text's bytes, cut between words into pieces of about ``size``, so that no list of all words of a very long text
+    is made. ``bytes.split()`` knows exactly the separators of ``SPACE``."""
+    raw, at = (text or "").encode("utf-8", "surrogatepass"), 0
+    while at < len(raw):
+        m = _GAP.search(raw, at + size) if at + size < len(raw) else None
+        end = m.start() if m else len(raw)
+        yield raw[at:end]
+        at = end
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -20,7 +20,6 @@ holds one batch of them and one set or two.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -31,11 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import WORD, boxed, cut, only, table
+from skein.llm.common import WORD, boxed, cut, only, stretches, table
 from skein.llm.components import components
 
-#: Words a worker remembers before it starts afresh, if they are no longer than so many bytes; bytes split at once.
-CACHE_WORDS, LONG_WORD, CHUNK = 1 << 17, 32, 1 << 20
+#: Words a worker remembers before it starts afresh, if they are no longer than so many bytes.
+CACHE_WORDS, LONG_WORD = 1 << 17, 32
 #: Pairs compared at once, and shingles of the sets that a tile keeps for further pairs.
 PAIRS, KEPT = 1 << 15, 4_000_000
 
@@ -72,7 +71,6 @@ class WordHash(dict):
 
 _words = WordHash()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,18 +81,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """A text's words as 64-bit hashes. Only A-Z are lower-cased and only the six ASCII separators split, which is what
-    bytes do; a very long text is split a stretch at a time."""
-    raw, out, at = (text or "").encode("utf-8", "surrogatepass").lower(), [], 0
-    while at < len(raw):
-        end = at + CHUNK
-        if end < len(raw):
-            m = _SPACE.search(raw, end)
-            end = m.start() if m else len(raw)
-        ws = raw[at:end].split()
-        out.append(np.fromiter(map(_words.__getitem__, ws), np.uint64, len(ws)))
-        at = end
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    """A text's words, A-Z lower-cased, as 64-bit hashes."""
+    each = (piece.lower().split() for piece in stretches(text))
+    return np.concatenate([np.empty(0, np.uint64), *(np.fromiter(map(_words.__getitem__, ws), np.uint64, len(ws)) for ws in each)])
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
