@@ -17,18 +17,20 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.common import table
 
-#: Words a worker remembers before it starts afresh.
-CACHE_WORDS = 500_000
+#: Words a worker remembers before it starts afresh, if they are no longer than so many characters.
+CACHE_WORDS, LONG_WORD = 1 << 17, 32
 #: Latin without combining marks, white space and the one capital whose lower case has two characters.
 SIMPLE = regex.compile(r"(?!.*<\|)[!-~\xa1-\u012f\u0131-\u024f]+").fullmatch
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -54,12 +56,17 @@ class Tokens(dict):
         self.bytes = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
 
     def __missing__(self, token: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         own = token if token.isascii() else token.encode().decode("latin-1").translate(self.bytes)
         ids = [t.id for t in self.tokenize(own)]
-        out = self[token] = pack_ids(f"<{len(ids)}I", *ids)
-        return out
+        return keep(self, token, pack_ids(f"<{len(ids)}I", *ids))
+
+
+def keep(known: dict, word: str, ids: bytes) -> bytes:
+    if len(word) <= LONG_WORD:
+        if len(known) >= CACHE_WORDS:
+            known.clear()
+        known[word] = ids
+    return ids
 
 
 class Ids(dict):
@@ -84,38 +91,40 @@ class Ids(dict):
         self.tokens = Tokens(self.tokenizer.model.tokenize)
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         if self.parts and (word.isprintable() and "<" not in word if word.isascii() else SIMPLE(word)):
             low = word.lower()
             # letters alone are one pre-token: by far the most common case, without the pattern
             out = self.tokens[low] if low.isalpha() else b"".join(map(self.tokens.__getitem__, self.parts(low)))
         else:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = out
-        return out
+        return keep(self, word, out)
 
     def of(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def ids_of(path: str) -> Ids:
+    """The tokenizer of this worker, read once for all its tasks."""
+    return Ids(path)
+
+
 def cut_up(docs: DataFrame, p: Params) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
-    state: dict[str, Ids] = {}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = state.setdefault("ids", None) or state.update(ids=Ids(p.tokenizer)) or state["ids"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = ids_of(p.tokenizer)
         end, most = np.array([p.end_id], "<u4").tobytes(), 4 * p.capacity
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                own = ids.of(text) + end
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                own = ids.of(text.as_py()) + end
                 rows += [(doc_id, k, at // 4, len(x := own[at : at + most]) // 4, zlib.crc32(x)) for k, at in enumerate(range(0, len(own), most))]
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            columns = zip(*rows) if rows else [()] * 5
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    # nullable ids stay integers: pandas would make floats of them
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
 class Bag:
@@ -231,13 +240,17 @@ def pack_pieces(pieces: DataFrame, n_docs: int, p: Params) -> DataFrame:
     groups = max(1, -(-n_docs // p.group))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["doc_id", "piece", "ids_crc32", "start", "length"], kind="stable").reset_index(drop=True)
         place, offset = pack(rows["length"].to_numpy(dtype=np.int64), p.capacity, p.passes)
         # numbered apart: group g uses g, g + groups, g + 2 * groups and so on
         return rows.drop(columns="g").assign(sequence_id=int(key[0]) + place * groups, offset=offset)
 
-    # the pieces of one long document spread over groups
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", F.col("piece").cast("long")), F.lit(groups)))
+    # pieces alike in everything are counted before the shuffle and numbered after it: so repeated rows, and those of null
+    # id, spread over the groups like all others, and a task run again deals them out the same way
+    own = [k.split()[0] for k in PIECES.split(", ")]
+    alike = pieces.groupBy(*own).agg(F.count("*").cast("int").alias("n"))
+    every = alike.select(*own, F.explode(F.sequence(F.lit(1), "n")).alias("nth"))
+    dealt = every.withColumn("g", F.pmod(F.xxhash64(*own, "nth"), F.lit(groups))).drop("nth")
     return dealt.groupBy("g").applyInPandas(run, PIECES + ", sequence_id long, offset long")
 
 

@@ -7,6 +7,7 @@ from functools import cache
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skein.llm import packing as p
@@ -124,3 +125,13 @@ def test_edges(spark):
     twice = p.best_fit(df.union(df), p.Params(p.word_bpe(), capacity=64)).collect()
     assert len(twice) == 2 * out.count()
     assert p.best_fit(df.limit(0), p.Params(p.word_bpe())).count() == 0
+
+
+def test_rows_of_null_id_spread_over_groups(spark):
+    """20,000 rows without an id, half of them alike: several groups, and all of their pieces."""
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a b").otherwise(F.col("id").cast("string")).alias("text"))
+    out = p.best_fit(docs, p.Params(p.word_bpe(), group=1000)).toPandas()
+    assert len(out) == 20_000 and out["doc_id"].isna().all()
+    assert out.groupby("sequence_id")["length"].sum().max() <= 2048
+    per = out.groupby(out["sequence_id"] % 20)["length"].sum()
+    assert len(per) == 20 and per.max() < 1.5 * per.min()
