@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents scored, cleaned of repeated lines and near copies, mixed, and packed."""
+"""The corpus pipeline: documents scored, cleaned of repeated lines and near copies, mixed, and packed.
+
+Nulls are passed on: a null text is scored, mixed and packed like an empty one, and rows of null id are judged like
+others, one of each group staying in near-dedup. Rows repeated in id and text count once from near-dedup on. Columns
+beyond those of ``documents`` pass all stages but the last, whatever their names. Empty tables give no rows.
+"""
 
 from __future__ import annotations
 
@@ -22,12 +27,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return minhash.keep_first(docs).select(*docs.columns)
+    """One document of each group of near copies, by the same four words and 80 % as the operator's own query."""
+    return minhash.keep_first(docs, minhash.Params(words=4)).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture of sources at their target weights; a document comes as often as it is drawn."""
+    """The mixture of sources at their target weights; a document comes as often as it is drawn. Rows lie by shard, in
+    each shard's own order."""
     return mixing.mix(docs).select(*docs.columns)
 
 
