@@ -30,16 +30,23 @@ def chunk_records(docs: DataFrame, c: Config = Config()) -> DataFrame:
 def documents_to_chunks(spark: SparkSession, folder: str, out: str, c: Config = Config(), convert: Callable[[bytes], str] | None = None) -> DataFrame:
     """Markdown files of ``folder``, or its PDFs if a converter is given, to records under ``out``; returns the report.
 
-    Inputs whose output exists are skipped before they are converted."""
+    Inputs whose output exists are skipped before they are converted. All others' outputs are replaced, by an empty one if
+    nothing of an input is left."""
     found = files.pdf_files(spark, folder) if convert else files.markdown_files(spark, folder)
     found = skip_existing(found, files.finished(spark, out), c.skip_existing)
     docs = files.to_markdown(found, convert) if convert else found
     judged = judged_chunks(docs, c).persist()  # written and counted: split once
     try:
         rows = records.training_records(judged, ["sec_pos", "chunk_pos"], c).withColumn("source_file", stem(F.col("source_file")))
-        sinks.write_per_source(rows, out, mode="append")
+        sinks.write_per_source(rows, out, mode="dynamic")
         report = records.run_report(judged)
-        return spark.createDataFrame(report.collect(), report.schema)  # a row a file
+        counts = report.collect()  # a row a file
+        full = {r.source_file for r in counts if r.n_saved}
+        saved = spark.createDataFrame([(x,) for x in full], "source_file string")
+        left = found.select("source_file").join(saved, "source_file", "left_anti").select(stem(F.col("source_file")).alias("stem"))
+        left = [r.stem for r in left.collect()]
+        sinks.write_empty(spark, out, left)
+        return spark.createDataFrame(counts, report.schema)
     finally:
         judged.unpersist()
 
@@ -53,10 +60,15 @@ def merge_records(lines: DataFrame, c: Config = Config(), separator_tokens: int
 
 
 def merge_folder(spark: SparkSession, folder: str, out: str | None = None, c: Config = Config()) -> None:
-    """Every ``*.jsonl`` of ``folder`` packed into ``merged_output``; what was there goes."""
+    """Every ``*.jsonl`` of ``folder`` packed into ``merged_output``; what was there goes. An input without rows has an empty
+    output."""
+    out = out or f"{folder.rstrip('/')}/merged_output"
     rows = merge_records(files.jsonl_lines(spark, folder, dotfiles=True), c)
     rows = rows.select("merged_file", "id", "instruction", "input", "output")
-    sinks.write_per_source(rows, out or f"{folder.rstrip('/')}/merged_output", by="merged_file")
+    sinks.write_per_source(rows, out, by="merged_file")
+    done = {n.partition("=")[2] for n in files.subfolders(spark, out, "merged_file=")}
+    merged = [n.replace(".jsonl", "-merged.jsonl") for n in files.names(spark, folder, ".jsonl")]
+    sinks.write_empty(spark, out, [n for n in merged if files.escaped(spark, n) not in done], by="merged_file")
 
 
 def attach_outputs(rows: DataFrame, annotations: DataFrame) -> DataFrame:

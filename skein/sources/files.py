@@ -30,6 +30,17 @@ def names(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return sorted(n for f in fs.listStatus(path) if f.isFile() and (n := f.getPath().getName()).endswith(suffix))
 
 
+def subfolders(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [n for f in (fs.listStatus(path) if fs.exists(path) else []) if f.isDirectory() and (n := f.getPath().getName()).startswith(prefix)]
+
+
+def escaped(spark: SparkSession, name: str) -> str:
+    """A name as Spark's writers put it into a folder's."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+
+
 def refuse_hidden(spark: SparkSession, folder: str, suffix: str, dotfiles: bool = True) -> None:
     """Raise if input files would be skipped; ``dotfiles`` says whether names with a dot count as input."""
     found = [n for n in names(spark, folder, suffix) if HIDDEN.match(n) and (dotfiles or not n.startswith("."))]
@@ -40,7 +51,8 @@ def refuse_hidden(spark: SparkSession, folder: str, suffix: str, dotfiles: bool
 def jsonl_lines(spark: SparkSession, folder: str, dotfiles: bool = False) -> DataFrame:
     """value, source_file and pos (line order within a file) of every line of the folder's ``*.jsonl``.
 
-    A folder without such files, or none at all, gives no rows. Lines end at a newline, a carriage return or both."""
+    A folder without such files, or none at all, gives no rows. Lines end at a newline, a carriage return or both. A line
+    that isn't UTF-8 fails the query."""
     refuse_hidden(spark, folder, ".jsonl", dotfiles)
     try:
         lines = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "false").text(folder)
@@ -50,7 +62,7 @@ def jsonl_lines(spark: SparkSession, folder: str, dotfiles: bool = False) -> Dat
         return spark.createDataFrame([], LINES)
     # splits of one file are numbered in order of their start, and lines in order within a split
     at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = lines.select("value", F.col("_metadata.file_name").alias("source_file"), at.alias("at"))
+    lines = lines.select(F.validate_utf8("value").alias("value"), F.col("_metadata.file_name").alias("source_file"), at.alias("at"))
     from pyspark.sql import Window
 
     w = Window.partitionBy("source_file").orderBy("at")
@@ -58,20 +70,24 @@ def jsonl_lines(spark: SparkSession, folder: str, dotfiles: bool = False) -> Dat
 
 
 def final_records(spark: SparkSession, path: str) -> DataFrame:
-    """A written dataset, by its declared columns."""
-    return spark.read.schema("instruction string, input string, output string").json(path)
+    """A written dataset, by its declared columns; a malformed line fails the query."""
+    return spark.read.schema("instruction string, input string, output string").option("mode", "FAILFAST").json(path)
 
 
 def markdown_files(spark: SparkSession, folder: str) -> DataFrame:
-    """source_file and md, one row a ``*.md`` file."""
+    """source_file and md, one row a ``*.md`` file; none for no folder."""
     refuse_hidden(spark, folder, ".md")
+    if not names(spark, folder, ".md"):
+        return spark.createDataFrame([], "source_file string, md string")
     rows = spark.read.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
     return rows.select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("md"))
 
 
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
-    """source_file, length and content of each ``*.pdf``, case as written, not below the folder."""
+    """source_file, length and content of each ``*.pdf``, case as written, not below the folder; none for no folder."""
     refuse_hidden(spark, folder, ".pdf")
+    if not names(spark, folder, ".pdf"):
+        return spark.createDataFrame([], "source_file string, length long, content binary")
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
     return rows.select(F.col("_metadata.file_name").alias("source_file"), "length", "content")
 

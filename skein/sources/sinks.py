@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,10 +14,23 @@ def json_line(*columns: str) -> Column:
 
 
 def write_per_source(records: DataFrame, folder: str, by: str = "source_file", order: str = "id", mode: str = "overwrite") -> None:
-    """A folder for each source, ``<by>=<name>``, of lines in order."""
+    """A folder for each source, ``<by>=<name>``, of lines in order. ``overwrite`` replaces all that was there, ``dynamic``
+    the sources that are written."""
     names = [c for c in records.columns if c != by]
     rows = records.repartition(by).sortWithinPartitions(by, order).select(by, json_line(*names).alias("value"))
-    rows.write.mode(mode).partitionBy(by).text(folder)
+    one = mode == "dynamic"
+    rows.write.mode("overwrite" if one else mode).option("partitionOverwriteMode", "dynamic" if one else "static").partitionBy(by).text(folder)
+
+
+def write_empty(spark: SparkSession, folder: str, names: Iterable[str], by: str = "source_file") -> None:
+    """An empty output in place of whatever there is for each of some sources: those that came to no rows."""
+    jvm = spark._jvm
+    for name in names:
+        part = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(by, name)
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{part}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(path, True)
+        fs.create(jvm.org.apache.hadoop.fs.Path(path, "part-00000.txt"), True).close()
 
 
 def write_single(records: DataFrame, path: str, order: str | None = None, mode: str = "overwrite") -> None:

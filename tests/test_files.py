@@ -131,3 +131,40 @@ def test_streams(spark, tmp_path):
     follow.follow_packing(spark, str(src), str(tmp_path / "p"), str(tmp_path / "cp2"), Config(max_tokens=2, counter="words")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "p")).orderBy("id").collect()
     assert [r.input for r in got] == ["w0\n\nw1", "w2\n\nw3", "w4"]
+
+
+def test_outputs_are_replaced_and_empty_ones_written(spark, tmp_path):
+    from skein.schemas import Config
+
+    src, out = tmp_path / "md", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.md").write_text("# H\n" + "word " * 400)
+    (src / "b.md").write_text("short")
+    c = Config(skip_existing=False, counter="words")
+    for _ in range(2):
+        prepare.documents_to_chunks(spark, str(src), out, c)
+        rows = spark.read.text(out).collect()
+        assert [json.loads(r.value)["id"] for r in rows] == [1]
+    assert (tmp_path / "out" / "source_file=b").is_dir()
+    (src / "a.md").write_text("now short")
+    prepare.documents_to_chunks(spark, str(src), out, c)
+    assert spark.read.text(out).count() == 0
+
+
+def test_merged_output_of_an_input_without_rows(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"instruction": "i", "input": "x y", "output": ""}\n')
+    (tmp_path / "b c.jsonl").write_text("\n")
+    prepare.merge_folder(spark, str(tmp_path), str(tmp_path / "m"))
+    assert sorted(p.name for p in (tmp_path / "m").iterdir() if p.is_dir()) == ["merged_file=a-merged.jsonl", "merged_file=b c-merged.jsonl"]
+    assert spark.read.text(str(tmp_path / "m")).count() == 1
+
+
+def test_bad_bytes_lines_and_missing_folders(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes(b'{"input": "\xff"}\n')
+    with pytest.raises(Exception, match="UTF"):
+        files.jsonl_lines(spark, str(tmp_path)).collect()
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.json").write_text('{"instruction": "i", "input": "x", "output": "o"}\nbad\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.final_records(spark, str(tmp_path / "d")).collect()
+    assert files.markdown_files(spark, str(tmp_path / "none")).count() == files.pdf_files(spark, str(tmp_path / "none")).count() == 0
