@@ -10,6 +10,7 @@ back. Pages are independent, so Spark deals them out and a worker holds one batc
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -36,6 +37,8 @@ class Params:
     #: Links from which a block inside the container that is nothing but links is a menu, and the share that makes it one.
     menu_links: int = 3
     menu_density: float = 0.9
+    #: Share of link text up to which a section of the article stays whose id alone could be its subject.
+    subject_density: float = 0.3
 
 
 # Names of HTML elements by their role.
@@ -55,6 +58,10 @@ DROP_WORDS = frozenset(
 TALK_WORDS = frozenset("comment comments commentlist discussion discussions disqus feedback replies reply respond response responses".split())
 #: Words that make a "header" the article's own.
 OWN_WORDS = frozenset("article content entry post story".split())
+#: Those that are as often the subject of a section of the article as what stands beside it.
+SUBJECT_WORDS = frozenset("ad ads adv alert alerts banner consent cookie cookies copyright discussion discussions feedback footer header login menu menus modal navigation notice notices notification overlay privacy promotion recommended related reply respond response responses share sharing skip social sponsor subscription widget widgets".split())
+#: Elements inside an article whose id is an anchor of its text and says nothing of their role.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote li dt dd td th tr table figure a span".split())
 #: Elements that a class name alone doesn't take out.
 SAFE = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption address summary".split())
@@ -71,8 +78,9 @@ MARKS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[
 PIECES = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
-#: Why an element is taken out: for good; or by a name, of readers' words or other ones, unless it turns out to be a wrapper.
-ALWAYS, TALK, NAME = 3, 2, 1
+#: Why an element is taken out: for good; or by a name, of readers' words or other ones, unless it turns out to be a wrapper;
+#: or by its id inside an article if it is full of links.
+ALWAYS, TALK, NAME, SUBJECT = 4, 3, 2, 1
 
 
 def unwanted(tag: str, attrs: str, in_article: bool) -> int:
@@ -93,7 +101,12 @@ def unwanted(tag: str, attrs: str, in_article: bool) -> int:
         if name in ("class", "id") and (tag not in SAFE or (tag == "article" and in_article)):
             names = {w.lower() for w in PIECES.findall(value)}
             if found := names & DROP_WORDS - ({"header"} if in_article or names & OWN_WORDS else set()):
-                out = max(out, TALK if found & TALK_WORDS else NAME)
+                if name == "id" and in_article and tag in ANCHORED:
+                    continue
+                if name == "id" and in_article and tag == "section" and not found - SUBJECT_WORDS:
+                    out = max(out, SUBJECT)
+                else:
+                    out = max(out, TALK if found & TALK_WORDS else NAME)
     return out
 
 
@@ -104,6 +117,7 @@ class Tree:
         self.tag, self.parent, self.kept, self.why = ["#root"], [-1], [True], [0]
         self.pieces: list[tuple[int, str]] = []  # (element, text); a blank text stands for a break
         stack, at, end = [0], 0, len(html)
+        opened = Counter(("#root",))  # tags on the stack
         article = 0  # open article or main elements
         while at < end:
             m = TOKEN.search(html, at)
@@ -116,10 +130,11 @@ class Tree:
             if not tag:
                 continue
             if m[1] or m[4]:
-                if tag in ("body", "html") or not any(self.tag[x] == tag for x in stack):
+                if tag in ("body", "html") or not opened[tag]:
                     continue
                 while True:
                     x = stack.pop()
+                    opened[self.tag[x]] -= 1
                     article -= self.tag[x] in ("article", "main")
                     if self.tag[x] == tag:
                         break
@@ -132,6 +147,7 @@ class Tree:
             if ends:
                 for k in range(len(stack) - 1, 0, -1):
                     if (t := self.tag[stack[k]]) in ends[0]:
+                        opened.subtract(self.tag[x] for x in stack[k:])
                         del stack[k:]
                         break
                     if t in ends[1]:
@@ -151,6 +167,7 @@ class Tree:
             self.kept.append(self.kept[stack[-1]] and why != ALWAYS)
             self.why.append(why)
             stack.append(len(self.tag) - 1)
+            opened[tag] += 1
             article += tag in ("article", "main")
 
 
@@ -160,6 +177,7 @@ def dropped(t: Tree, p: Params) -> list[bool]:
     A wrapper holds most of the unlinked text; if there is an article element beside it, it holds that much in blocks.
     What is named after readers' words must also hold an h1 or main; other readers' words aren't counted."""
     n = len(t.tag)
+    linked, every = [0] * n, [0] * n
     link, talk, holds, mass = [False] * n, [False] * n, [False] * n, [0] * n
     block, direct, named, articles = [0] * n, [0] * n, [False] * n, [0] * n
     for i in range(1, n):
@@ -175,24 +193,28 @@ def dropped(t: Tree, p: Params) -> list[bool]:
     for i in range(1, n):
         talk[i] = talk[t.parent[i]] or (t.why[i] == TALK and not holds[i])
     for i, text in t.pieces:
+        k = len("".join(text.split()))
+        every[i] += k
+        linked[i] += k * link[i]
         if not link[i] and not talk[i]:
-            k = len("".join(text.split()))
             mass[i] += k
             direct[block[i]] += k
     for i in range(n - 1, 0, -1):
-        mass[t.parent[i]] += mass[i]
+        for sums in (mass, every, linked):
+            sums[t.parent[i]] += sums[i]
     out = [False] * n
     for i in range(1, n):
         own = mass[i] - direct[i] if free and not articles[i] and not holds[i] else mass[i]
         by_name = t.why[i] in (NAME, TALK) and (talk[i] or not own or own < p.wrapper * mass[0])
-        out[i] = out[t.parent[i]] or by_name
+        by_subject = t.why[i] == SUBJECT and linked[i] > p.subject_density * every[i]
+        out[i] = out[t.parent[i]] or by_name or by_subject
     return out
 
 
 def main_text(html: str | None, p: Params = Params()) -> str:
     """The article of a page as one line of text; empty if there is none."""
     t = Tree(html or "")
-    if not any(t.why[i] in (NAME, TALK) for i in range(len(t.tag))):
+    if not any(0 < t.why[i] < ALWAYS for i in range(len(t.tag))):
         return scored_text(t, t.pieces, p)
     out = dropped(t, p)
     text = scored_text(t, [(i, x) for i, x in t.pieces if not out[i] or x == " "], p)

@@ -109,3 +109,22 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (1, None, None, "x"), (None, "u", "<p>a", "y")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, h.extract(df).collect()), key=str) == sorted([(1, None, None, "", 0)] * 2 + [(None, "u", "<p>a", "a", 1)], key=str)
     assert h.extract(df.limit(0)).count() == 0
+
+
+def test_ids_inside_the_article_are_anchors():
+    para = "<p>%s, with some words, and more of them, so that it counts as a paragraph of text.</p>"
+    page = "<html><body><nav>Home</nav><article><h1 id='notice'>Title</h1>" + "".join(para % f"Part {i}" for i in range(6))
+    page += "<h2 id='how-to-share-memory'>Sharing</h2><p id='privacy-comment'>Kept words.</p><section id='discussion'><h2>Discussion</h2>" + para % "We discuss" + "</section>"
+    page += "<section id='related'><a href=1>One other page</a> <a href=2>Another page</a></section>"
+    page += "<section id='comments'><p>A reader wrote this here.</p></section><div class='notice'>Some notice.</div><div id='ad-1'>Buy this now.</div>"
+    page += "<section class='discussion'><p>Readers talk.</p></section></article></body></html>"
+    text = h.main_text(page)
+    for kept in ("Title", "Sharing", "Kept words.", "Discussion", "We discuss", "Part 5"):
+        assert kept in text
+    for gone in ("Home", "other page", "reader wrote", "Some notice", "Buy this", "Readers talk"):
+        assert gone not in text
+
+
+def test_deep_nesting():
+    n = 20_000
+    assert h.main_text("<div>" * n + "<p>Words, at the bottom of it, of a paragraph.</p>" + "</div>" * n) == "Words, at the bottom of it, of a paragraph."
