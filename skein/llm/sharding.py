@@ -3,7 +3,9 @@
 Arrivals are appended as runs of small immutable Parquet shards. When enough runs of like size have come together they
 are merged into one run of target-sized shards, so a row is rewritten once a tier and not once an arrival. What is live
 is said by a manifest: a numbered JSON file that is written aside and renamed into place, which fails if another writer
-was first. Readers see one version or the next, never a half of either; files that no kept version names are deleted.
+was first. Readers see one version or the next, never a half of either. Files of replaced versions stay for an hour, so
+that readers that have begun with one can end; then they are deleted. A rename that fails if its target exists is what
+HDFS-like stores and local disks offer; plain object stores need a committer of their own.
 
 Spark reads and writes all data; a merge reads its shards and coalesces them, without a shuffle. The driver handles
 names and sizes of shards alone.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -35,8 +38,9 @@ class Params:
     ratio: float = 2.0
     #: Runs below are of like size whatever they are.
     small: int = 1 << 20
-    #: Versions whose files are kept, the current one included.
+    #: Versions whose files are kept, the current one included; and the seconds for which those of older ones stay.
     versions: int = 1
+    keep_seconds: float = 3600
     compression: str = "zstd"
 
 
@@ -60,6 +64,10 @@ class ShardStore:
         fs = path.getFileSystem(self._conf)
         return [(f.getPath().toString(), f.getLen()) for f in fs.listStatus(path)] if fs.exists(path) else []
 
+    def _delete(self, name: str) -> None:
+        path = self._path(name)
+        path.getFileSystem(self._conf).delete(path, True)
+
     # versions
 
     def versions(self) -> list[int]:
@@ -111,7 +119,11 @@ class ShardStore:
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         arrival.write.option("compression", self.p.compression).parquet(folder)
         before = self.manifest()
-        return self.commit(before, [*before["runs"], self._run(folder)], before["schema"] or arrival.schema.json())
+        try:
+            return self.commit(before, [*before["runs"], self._run(folder)], before["schema"] or arrival.schema.json())
+        except Conflict:
+            self._delete(folder)  # no version names it
+            raise
 
     def append_each(self, rows: DataFrame, arrival: Column) -> list[dict]:
         """The arrivals that a column numbers, written by one job; a version for each, in order, compacted in between."""
@@ -154,20 +166,28 @@ class ShardStore:
         while due := self.due((before := self.manifest())["runs"]):
             merged = self.merge(due, T.StructType.fromJson(json.loads(before["schema"])))
             gone = {r["id"] + str(r["shards"][:1]) for r in due}
-            self.commit(before, [*(r for r in before["runs"] if r["id"] + str(r["shards"][:1]) not in gone), merged], before["schema"])
+            try:
+                self.commit(before, [*(r for r in before["runs"] if r["id"] + str(r["shards"][:1]) not in gone), merged], before["schema"])
+            except Conflict:
+                self._delete(f"{self.root}/data/{merged['id']}")
+                raise
             self.expire()
             n += 1
         return n
 
     def expire(self) -> None:
-        """Delete manifests beyond the kept versions, and the shards that they alone name."""
+        """Delete manifests that were replaced ``keep_seconds`` ago or more, and the shards that they alone name."""
         known = self.versions()
-        kept = {n for v in known[-self.p.versions :] for r in self.manifest(v)["runs"] for n, _ in r["shards"]}
-        for v in known[: -self.p.versions]:
+        path = self._path(f"{self.root}/manifest")
+        fs = path.getFileSystem(self._conf)
+        written = {int(n[1:-5]): f.getModificationTime() / 1000 for f in fs.listStatus(path) if (n := f.getPath().getName()).startswith("v")} if known else {}
+        # a version is replaced when the next one is written
+        old = [v for v, after in zip(known, known[1:]) if v not in known[-self.p.versions :] and time.time() - written[after] >= self.p.keep_seconds]
+        kept = {n for v in known if v not in old for r in self.manifest(v)["runs"] for n, _ in r["shards"]} if old else set()
+        for v in old:
             for n in {n for r in self.manifest(v)["runs"] for n, _ in r["shards"]} - kept:
-                self._path(n).getFileSystem(self._conf).delete(self._path(n), False)
-            name = self._path(f"{self.root}/manifest/v{v:09d}.json")
-            name.getFileSystem(self._conf).delete(name, False)
+                self._delete(n)
+            self._delete(f"{self.root}/manifest/v{v:09d}.json")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, the current one by default."""
@@ -184,8 +204,8 @@ def shard(rows: DataFrame, arrival: Column, root: str, p: Params = Params()) ->
 
     Every row is in exactly one live shard, with all columns, nulls and repeated rows as they are. Rows of a null
     arrival are an arrival of their own. An empty table makes a version without rows. The column name
-    ``arrival_of_shard`` is taken: a column of that name raises an error before anything is written."""
-    if ARRIVAL in rows.columns:
+    ``arrival_of_shard`` is taken: a column of that name, in any case, raises an error before anything is written."""
+    if ARRIVAL in (c.lower() for c in rows.columns):
         raise ValueError(f"column {ARRIVAL} is taken")
     store = ShardStore(rows.sparkSession, root, p)
     store.append_each(rows, arrival)

@@ -20,7 +20,7 @@ def test_round_trip_with_nulls_and_repeats(spark, tmp_path):
     store = s.shard(df, F.col("doc_id").cast("int"), str(tmp_path / "t"))
     assert rows(store.read()) == rows(df)
     with pytest.raises(ValueError):
-        s.shard(df.withColumnRenamed("id", s.ARRIVAL), F.lit(1), str(tmp_path / "u"))
+        s.shard(df.withColumnRenamed("id", "Arrival_Of_Shard"), F.lit(1), str(tmp_path / "u"))
     empty = s.shard(df.limit(0), F.col("id"), str(tmp_path / "v"))
     assert empty.read().count() == 0 and empty.read().columns == df.columns
 
@@ -42,7 +42,7 @@ def test_runs_of_like_size_are_merged(spark, tmp_path):
 
 
 def test_commits_are_all_or_nothing(spark, tmp_path):
-    store = s.ShardStore(spark, str(tmp_path), s.Params(fanout=2, small=1))
+    store = s.ShardStore(spark, str(tmp_path), s.Params(fanout=2, small=1, keep_seconds=0))
     assert store.manifest()["version"] == 0
     with pytest.raises(ValueError):
         store.read()
@@ -56,3 +56,17 @@ def test_commits_are_all_or_nothing(spark, tmp_path):
     assert store.versions() == [3] and store.read().count() == 9
     left = [f for f in (tmp_path / "data").rglob("*.parquet")]
     assert len(left) == len(store.manifest()["runs"][0]["shards"])
+
+
+def test_readers_of_a_replaced_version_can_end(spark, tmp_path):
+    """Within keep_seconds a merge takes nothing from those who planned with the version before; a lost race leaves no data."""
+    store = s.ShardStore(spark, str(tmp_path), s.Params(fanout=2, small=1))
+    store.append(spark.range(5).toDF("id"))
+    store.append(spark.range(5, 9).toDF("id"))
+    planned = store.read()
+    assert store.compact() == 1 and planned.count() == store.read().count() == 9
+    before = sorted((tmp_path / "data").iterdir())
+    store.manifest = lambda version=None, m=store.manifest: m(2)  # as another writer sees it
+    with pytest.raises(s.Conflict):
+        store.append(spark.range(3).toDF("id"))
+    assert sorted((tmp_path / "data").iterdir()) == before
