@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import table
 
-#: Words a worker remembers before it starts afresh, if they are no longer than so many characters.
-CACHE_WORDS, LONG_WORD = 1 << 17, 32
+#: Words, and their pre-tokens, that a worker remembers before it starts afresh, if they are no longer than so many characters.
+CACHE_WORDS, CACHE_TOKENS, LONG_WORD = 500_000, 1 << 17, 32
 #: Latin without combining marks, white space and the one capital whose lower case has two characters.
 SIMPLE = regex.compile(r"(?!.*<\|)[!-~\xa1-\u012f\u0131-\u024f]+").fullmatch
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -58,12 +58,12 @@ class Tokens(dict):
     def __missing__(self, token: str) -> bytes:
         own = token if token.isascii() else token.encode().decode("latin-1").translate(self.bytes)
         ids = [t.id for t in self.tokenize(own)]
-        return keep(self, token, pack_ids(f"<{len(ids)}I", *ids))
+        return keep(self, token, pack_ids(f"<{len(ids)}I", *ids), CACHE_TOKENS)
 
 
-def keep(known: dict, word: str, ids: bytes) -> bytes:
+def keep(known: dict, word: str, ids: bytes, most: int) -> bytes:
     if len(word) <= LONG_WORD:
-        if len(known) >= CACHE_WORDS:
+        if len(known) >= most:
             known.clear()
         known[word] = ids
     return ids
@@ -97,7 +97,7 @@ class Ids(dict):
             out = self.tokens[low] if low.isalpha() else b"".join(map(self.tokens.__getitem__, self.parts(low)))
         else:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return keep(self, word, out)
+        return keep(self, word, out, CACHE_WORDS)
 
     def of(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
