@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from skein.llm.common import table
 
 #: Words, and their pre-tokens, that a worker remembers before it starts afresh, if they are no longer than so many characters.
-CACHE_WORDS, CACHE_TOKENS, LONG_WORD = 500_000, 1 << 17, 32
+CACHE_WORDS, CACHE_TOKENS, LONG_WORD = 500_000, 500_000, 32
 #: Latin without combining marks, white space and the one capital whose lower case has two characters.
 SIMPLE = regex.compile(r"(?!.*<\|)[!-~\xa1-\u012f\u0131-\u024f]+").fullmatch
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
