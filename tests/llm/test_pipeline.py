@@ -22,9 +22,9 @@ def test_stages_in_turn(spark, sf_dir, tmp_path):
     got = {r.doc_id: r for r in after.collect()}
     assert all(r.text == want[i] and r.n_chars == len(r.text) for i, r in got.items()) and all(not want[i].strip() for i in set(want) - set(got))
     before, after = kept[2]
-    assert ids(after) == ids(minhash.near_duplicates(before).filter("kept"))
+    assert ids(after) == ids(minhash.near_duplicates(before, minhash.Params(words=4)).filter("kept"))
     before, after = kept[3]
-    plan = mixing.assign(before).select("doc_id", F.explode("copies"))
+    plan = mixing.assign(before).select("doc_id", F.explode("shards"))
     assert ids(after) == ids(plan)
     before, after = kept[4]
     assert sorted(set(ids(after))) == sorted(set(ids(before)))
