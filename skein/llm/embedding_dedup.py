@@ -7,17 +7,17 @@ blocks is the unit of work, so a list of any length is spread over tasks. A pair
 shared pivot alone, so it counts once.
 
 Pivots are a bounded sample, drawn by a hash; their number grows with the square root of the distinct vectors, as does
-the mean length of a list. Equal vectors are one row with a count throughout.
+the mean length of a list. Vectors of each length have pivots of their own, numbered together, so one plan serves all
+lengths. Equal vectors are one row with a count throughout, under a number of its own.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.common import cut, table
@@ -29,7 +29,7 @@ class Params:
     cosine: float = 0.95
     prefix: int = 8
     shared: int = 2
-    #: Pivots: this many times the square root of the number of distinct vectors, within these bounds.
+    #: Pivots of a length: this many times the square root of its number of distinct vectors, within these bounds.
     pivots_per_root: float = 4.0
     min_pivots: int = 16
     max_pivots: int = 32_768
@@ -102,71 +102,94 @@ def spread(hit: np.ndarray, ids: np.ndarray, other: np.ndarray) -> tuple[np.ndar
         low, lo2 = row, col
 
 
+def draw(classes: DataFrame, p: Params) -> dict[int, tuple[int, np.ndarray]]:
+    """For each length of vectors the number of its first pivot, and its pivots. They are drawn and thinned on Spark, a
+    length in a task; the driver gets at most ``max_pivots`` vectors a length."""
+    n = classes.groupBy("dim").agg(F.count("*").alias("n"))
+    want = F.greatest(F.lit(p.min_pivots), F.least(F.lit(p.max_pivots), F.ceil(p.pivots_per_root * F.sqrt("n")))).cast("int")
+    at = F.xxhash64("embedding", F.lit(p.seed))
+    some = classes.join(n.select("dim", "n", want.alias("want")), "dim").withColumn("at", at)
+    # twice as many as wanted, some more where few are, so that not all vectors are put in order
+    some = some.filter(F.pmod("at", F.lit(1 << 31)) * F.col("n") <= (2 * F.col("want") + 64) * F.lit(float(1 << 31)))
+    place = F.row_number().over(Window.partitionBy("dim").orderBy("at", "embedding"))
+    some = some.withColumn("place", place).filter("place <= want").select("dim", "place", "embedding")
+
+    def apart(rows: pd.DataFrame) -> pd.DataFrame:
+        x = thin(unit(rows.sort_values("place")["embedding"].tolist()), p.apart)
+        return pd.DataFrame({"dim": rows["dim"].iloc[0], "place": np.arange(len(x)), "embedding": list(x)})
+
+    found = some.groupBy("dim").applyInPandas(apart, "dim int, place int, embedding array<double>").toArrow().sort_by([("dim", "ascending"), ("place", "ascending")])
+    dims, flat, out, row, val = found["dim"].to_numpy(), found["embedding"].combine_chunks().flatten().to_numpy(), {}, 0, 0
+    for d, k in zip(*np.unique(dims, return_counts=True)):
+        out[int(d)] = (row, flat[val : val + k * d].reshape(k, d))
+        row, val = row + int(k), val + int(k) * int(d)
+    return out
+
+
 def links(classes: DataFrame, p: Params) -> DataFrame:
-    """From (rep, dim, copies, embedding) of distinct vectors: (a, b, n), meaning that a has n more linked vectors and
+    """From (cls, dim, copies, embedding) of distinct vectors: (a, b, n), meaning that a has n more linked vectors and
     is in a component with b."""
-    spark, parts = classes.sparkSession, []
-    for dim, n in sorted(map(tuple, classes.groupBy("dim").count().collect())):  # one turn for each length of vectors
-        of = classes.filter(F.col("dim") == dim)
-        want = max(p.min_pivots, min(p.max_pivots, math.ceil(p.pivots_per_root * math.sqrt(n))))
-        drawn = of.orderBy(F.xxhash64("rep", F.lit(p.seed)), "rep").select("embedding").limit(want).collect()
-        sent = spark.sparkContext.broadcast(thin(unit([r.embedding for r in drawn]), p.apart))  # max_pivots vectors at most
-
-        @F.pandas_udf("array<int>")
-        def describe(v: pd.Series) -> pd.Series:
-            out = []
-            for at in range(0, len(v), 1024):
-                out += list(nearest(unit(v.iloc[at : at + 1024].tolist()), sent.value, p.prefix).astype(np.int32))
-            return pd.Series(out, dtype=object)
-
-        indexed = cut(of.select("rep", "copies", "embedding", describe("embedding").alias("near")))
-        lists = indexed.select(F.explode("near").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
-        own = indexed.withColumn("pivot", F.explode("near")).join(F.broadcast(lists), "pivot")  # a row a pivot
-        own = own.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        own = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        own = own.select("pivot", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "copies", "near", "embedding")
-
-        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("rep")
-            one = rows[rows["block"] == key[1]]
-            two = rows[rows["block"] == key[2]]
-            if not len(one) or not len(two):
-                return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
-            grid = lambda t: (unit(t["embedding"].tolist()), np.stack(t["near"].to_numpy()), t["rep"].to_numpy(), t["copies"].to_numpy())
-            (x, px, a, na), (y, py, b, nb) = grid(one), grid(two)
-            hit = matches(x, y, px, py, key[0], key[1] == key[2], p)
-            if key[1] == key[2]:
-                hit |= hit.T
-            low, lo2 = spread(hit, a, b)
-            sides = [(a, low, hit @ nb)] + ([] if key[1] == key[2] else [(b, lo2, na @ hit)])
-            out = pd.concat([pd.DataFrame({"a": s[0], "b": s[1], "n": s[2]}) for s in sides])
-            return out[out["n"] > 0].astype("int64")
-
-        parts.append(own.groupBy("pivot", "i", "j").applyInPandas(run, "a long, b long, n long"))
-    out = spark.createDataFrame([], "a long, b long, n long")
-    for x in parts:
-        out = out.unionByName(x)
-    return out
+    sent = classes.sparkSession.sparkContext.broadcast(draw(classes, p))
+
+    @F.pandas_udf("array<int>")
+    def describe(v: pd.Series) -> pd.Series:
+        out, dims = np.empty(len(v), object), v.map(len).to_numpy()
+        for d in np.unique(dims):
+            of, (first, pivots) = np.flatnonzero(dims == d), sent.value[int(d)]
+            for at in range(0, len(of), 1024):
+                near = nearest(unit(v.iloc[of[at : at + 1024]].tolist()), pivots, p.prefix) + first
+                for i, x in zip(of[at : at + 1024], near.astype(np.int32)):
+                    out[i] = x
+        return pd.Series(out, dtype=object)
+
+    indexed = cut(classes.select("cls", "copies", "embedding", describe("embedding").alias("near")))
+    lists = indexed.select(F.explode("near").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
+    own = indexed.withColumn("pivot", F.explode("near")).join(F.broadcast(lists), "pivot")  # a row a pivot
+    own = own.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    own = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("pivot", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "cls", "copies", "near", "embedding")
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        one = rows[rows["block"] == key[1]]
+        two = rows[rows["block"] == key[2]]
+        if not len(one) or not len(two):
+            return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
+        grid = lambda t: (unit(t["embedding"].tolist()), np.stack(t["near"].to_numpy()), t["cls"].to_numpy(), t["copies"].to_numpy())
+        (x, px, a, na), (y, py, b, nb) = grid(one), grid(two)
+        hit = matches(x, y, px, py, key[0], key[1] == key[2], p)
+        if key[1] == key[2]:
+            hit |= hit.T
+        low, lo2 = spread(hit, a, b)
+        sides = [(a, low, hit @ nb)] + ([] if key[1] == key[2] else [(b, lo2, na @ hit)])
+        out = pd.concat([pd.DataFrame({"a": s[0], "b": s[1], "n": s[2]}) for s in sides])
+        return out[out["n"] > 0].astype("int64")
+
+    return own.groupBy("pivot", "i", "j").applyInPandas(run, "a long, b long, n long")
 
 
 def near_duplicates(vectors: DataFrame, p: Params = Params()) -> DataFrame:
     """vec_id, n_links, component_id and kept (vec_id = component_id), one row per row of ``vectors``.
 
     A vector that is null, empty or zero, or holds null or non-finite components, links with nothing; so do vectors of
-    different lengths. Rows that share an id and a vector count each; a row of null id links with nothing, its
+    different lengths. Rows that share an id and a vector count each; rows that share an id but not the vector are
+    judged one by one, each with its own links and component. A row of null id links with nothing, its
     component_id is null and kept is true. An empty table gives no rows; other columns are ignored."""
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    good = v.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    classes = good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = cut(classes.select("rep", "copies", F.size("embedding").alias("dim"), "embedding"))
+    kind = vectors.select("embedding").dtypes[0][1]
+    # floats stay floats up to the task that computes with them, so that half as much is shuffled
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind if kind == "array<float>" else "array<double>").alias("embedding"))
+    ok = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
+    classes = v.filter(ok).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    # numbered once: the checkpoint has the numbers
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("cls"), "rep", "copies", F.size("embedding").alias("dim"), "embedding"))
     found = cut(links(classes, p))
     comps = components(found.select("a", "b"))
+    ends = comps.unionByName(comps.select(F.col("component").alias("node"), "component").distinct())
+    low = ends.join(classes.select(F.col("cls").alias("node"), "rep"), "node").groupBy("component").agg(F.min("rep").alias("low"))
+    low = ends.join(low, "component").select("node", "low")
     more = found.groupBy("a").agg(F.sum("n").alias("more"))
-    of = classes.join(more, classes["rep"] == more["a"], "left").join(comps, classes["rep"] == comps["node"], "left")
-    of = of.select(F.col("embedding").alias("value"), (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    ok = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
-    key = F.when(ok, F.col("embedding"))
-    out = v.select("vec_id", key.alias("key")).join(of, F.col("key") == F.col("value"), "left")
+    of = classes.join(more, classes["cls"] == more["a"], "left").join(low, classes["cls"] == low["node"], "left")
+    of = of.select(F.col("embedding").alias("value"), (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("low", "rep").alias("component_id"))
+    out = v.select("vec_id", F.when(ok, F.col("embedding")).alias("key")).join(of, F.col("key") == F.col("value"), "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 

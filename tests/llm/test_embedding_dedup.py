@@ -49,6 +49,26 @@ def test_edges(spark):
     assert e.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_rows_of_one_id_with_other_vectors(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (7, [2.0, 0.0])]
+    got = e.near_duplicates(spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [(5, 0, 5, True), (5, 2, 5, True), (6, 2, 5, False), (7, 2, 5, False)]
+
+
+def test_many_lengths_in_one_plan(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for d in range(2, 42):
+        ids = [1000 - 10 * d + i for i in range(6)]
+        x = rng.normal(size=(6, d))
+        x[3:] = x[:3] * 2 + 0.01 * rng.normal(size=(3, d))
+        n, comp = brute(ids, x)
+        rows += [(i, v.tolist()) for i, v in zip(ids, x)]
+        want.update({i: (int(a), int(b)) for i, a, b in zip(ids, n, comp)})
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in e.near_duplicates(df).collect()} == want
+
+
 def test_query_equals_sql(spark, sf_dir, duck):
     out = e.op1(spark, sf_dir)
     assert out.dtypes == [("vec_id", "bigint"), ("n_links", "bigint"), ("component_id", "bigint"), ("kept", "boolean")]
