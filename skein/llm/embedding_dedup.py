@@ -183,9 +183,11 @@ def near_duplicates(vectors: DataFrame, p: Params = Params()) -> DataFrame:
     classes = cut(classes.select(F.monotonically_increasing_id().alias("cls"), "rep", "copies", F.size("embedding").alias("dim"), "embedding"))
     found = cut(links(classes, p))
     comps = components(found.select("a", "b"))
-    ends = comps.unionByName(comps.select(F.col("component").alias("node"), "component").distinct())
-    low = ends.join(classes.select(F.col("cls").alias("node"), "rep"), "node").groupBy("component").agg(F.min("rep").alias("low"))
-    low = ends.join(low, "component").select("node", "low")
+    # a component's smallest id: of its nodes (minima before the shuffle), and of the one that it is named by
+    reps = lambda c: classes.select(F.col("cls").alias(c), "rep")
+    least = comps.join(reps("node"), "node").groupBy("component").agg(F.min("rep").alias("m"))
+    least = least.join(reps("component"), "component").select("component", F.least("m", "rep").alias("low"))
+    low = comps.join(least, "component").select("node", "low").unionByName(least.withColumnRenamed("component", "node"))
     more = found.groupBy("a").agg(F.sum("n").alias("more"))
     of = classes.join(more, classes["cls"] == more["a"], "left").join(low, classes["cls"] == low["node"], "left")
     of = of.select(F.col("embedding").alias("value"), (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("low", "rep").alias("component_id"))
