@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import table
 
-#: Words, and their pre-tokens, that a worker remembers before it starts afresh, if they are no longer than so many characters.
+#: Words, and their pre-tokens, that a task remembers before it starts afresh, if they are no longer than so many characters.
 CACHE_WORDS, CACHE_TOKENS, LONG_WORD = 500_000, 500_000, 32
 #: Latin without combining marks, white space and the one capital whose lower case has two characters.
 SIMPLE = regex.compile(r"(?!.*<\|)[!-~\xa1-\u012f\u0131-\u024f]+").fullmatch
@@ -92,13 +92,18 @@ class Ids(dict):
 
     def __missing__(self, word: str) -> bytes:
         if self.parts and (word.isprintable() and "<" not in word if word.isascii() else SIMPLE(word)):
-            low = word.lower()
+            low = word if word.islower() else word.lower()  # one string in both dictionaries where it can be
             # letters alone are one pre-token: by far the most common case, without the pattern
             out = self.tokens[low] if low.isalpha() else b"".join(map(self.tokens.__getitem__, self.parts(low)))
         else:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         return keep(self, word, out, CACHE_WORDS)
 
+    def forget(self) -> None:
+        """What a task remembered goes with it: a worker lives on through other jobs, beside which the words would lie."""
+        self.clear()
+        self.tokens.clear()
+
     def of(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
@@ -115,14 +120,17 @@ def cut_up(docs: DataFrame, p: Params) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = ids_of(p.tokenizer)
         end, most = np.array([p.end_id], "<u4").tobytes(), 4 * p.capacity
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                own = ids.of(text.as_py()) + end
-                rows += [(doc_id, k, at // 4, len(x := own[at : at + most]) // 4, zlib.crc32(x)) for k, at in enumerate(range(0, len(own), most))]
-            columns = zip(*rows) if rows else [()] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                rows = []
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                    own = ids.of(text.as_py()) + end
+                    rows += [(doc_id, k, at // 4, len(x := own[at : at + most]) // 4, zlib.crc32(x)) for k, at in enumerate(range(0, len(own), most))]
+                columns = zip(*rows) if rows else [()] * 5
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            ids.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
