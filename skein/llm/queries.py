@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import embedding_dedup, html_extract, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, sharding, url_filter
+from skein.llm import embedding_dedup, html_extract, line_dedup, minhash, mixing, packing, pieces, quality_classifier, quality_rules, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix_sources": mixing.op8,
         "op9_url_filter": url_filter.op9,
         "op10_best_fit_packing": packing.op10,
+        "op13_sentencepiece": pieces.op13,
     }
 
 
