@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import embedding_dedup, html_extract, line_dedup, minhash, mixing, packing, pieces, quality_classifier, quality_rules, sharding, url_filter
+from skein.llm import divergence, embedding_dedup, hard_negatives, html_extract, line_dedup, minhash, mixing, packing, pieces, quality_classifier, quality_rules, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix_sources": mixing.op8,
         "op9_url_filter": url_filter.op9,
         "op10_best_fit_packing": packing.op10,
+        "op11_hard_negatives": hard_negatives.op11,
+        "op12_source_divergence": divergence.op12,
         "op13_sentencepiece": pieces.op13,
     }
 
@@ -31,4 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_sharding": sharding.SQL,
         "op5_minhash_dedup": minhash.SQL,
         "op9_url_filter": url_filter.SQL,
+        "op11_hard_negatives": hard_negatives.SQL,
+        "op12_source_divergence": divergence.SQL,
     }

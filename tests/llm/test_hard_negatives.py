@@ -1,0 +1,97 @@
+"""Hard negatives against all scores in plain Python, and against SQL on the table."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import same_rows
+
+from skein.llm import hard_negatives as hn
+from skein.llm.hard_negatives import Intervals, Params, Planes, mine, op11
+
+SCHEMA = "vec_id long, embedding array<double>, label int, score string"
+
+
+def brute(rows, every=50):
+    ok = [(i, [math.floor(256 * x) for x in v], l) for i, v, l, *_ in rows if None not in (i, v, l) and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (i, v, l) in enumerate(ok):
+        if i % every:
+            continue
+        score = lambda w: sum(a * b for a, b in zip(v, w))
+        others = [(-score(w), j, m) for k, (j, w, m) in enumerate(ok) if k != n and len(w) == len(v)]
+        for s, j, _ in sorted(x for x in others if x[2] == l)[:5]:
+            hard = sorted(x for x in others if x[2] != l and 50 * -s <= 100 * -x[0] <= 95 * -s)[:3]
+            out += [(i, j, r + 1, h[1], -s, -h[0]) for r, h in enumerate(hard)]
+    return sorted(out)
+
+
+def mined(spark, rows, p=Params(), every=50):
+    from pyspark.sql import functions as F
+
+    out = mine(spark.createDataFrame(rows, SCHEMA), p, anchor=F.col("vec_id") % every == 0)
+    return sorted(map(tuple, out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()))
+
+
+def some(n, dim, seed, labels=3, spread=1.0):
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(labels * 4, dim))[r.integers(0, labels * 4, n)] + spread * r.normal(size=(n, dim))
+    return [(i, v.tolist(), int(r.integers(labels)), "x") for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("p", [Params(), Params(block=37, anchors=5, dense=0.0), Params(block=37, anchors=5, dense=2.0)])
+def test_equals_all_scores(spark, p):
+    rows = some(400, 8, 1)
+    assert mined(spark, rows, p, every=10) == brute(rows, 10) != []
+
+
+def test_ties_repeated_rows_and_ids(spark):
+    r = random.Random(2)
+    rows = [(r.randrange(40), [float(r.randrange(-2, 3)) / 256 for _ in range(3)], r.randrange(3), None) for _ in range(160)]
+    rows += rows[:60] + rows[:7]
+    assert mined(spark, rows, Params(block=16, anchors=4), every=5) == brute(rows, 5) != []
+
+
+def test_rows_that_take_no_part(spark):
+    rows = some(120, 4, 3)
+    bad = [(50, None, 1, ""), (100, [1.0, None, 0.0, 1.0], 1, ""), (150, [math.nan, 1.0, 1.0, 1.0], 1, ""), (200, [math.inf] * 4, 1, ""), (250, [1.0] * 4, None, ""), (None, [1.0] * 4, 1, "")]
+    assert mined(spark, rows + bad, every=10) == brute(rows, 10)
+    assert mined(spark, bad) == [] and mined(spark, []) == []
+
+
+def test_lengths_and_empty_vectors(spark):
+    rows = some(90, 4, 4) + [(1000 + i, v, l, "") for i, v, l, _ in some(60, 6, 5)] + [(5000 + i, [], i % 2, "") for i in range(12)]
+    assert mined(spark, rows, every=10) == brute(rows, 10)
+
+
+def test_few_rows(spark):
+    rows = [(0, [1.0, 0.0], 1, ""), (1, [0.9, 0.1], 1, ""), (2, [0.7, 0.1], 2, "")]
+    assert mined(spark, rows) == brute(rows) == [(0, 1, 1, 2, 256 * 230, 256 * 179)]
+
+
+def test_intervals_hold_the_scores_and_halve():
+    r = np.random.default_rng(6)
+    a, v = r.integers(-300, 300, (4, 9)), r.integers(-300, 300, (30, 9))
+    planes, want, wide = Planes(v), a @ v.T, None
+    x = Intervals(a, planes, np.ones((4, 30), bool), 0.0)
+    for k in planes.bits:
+        i, j, low, high = x.add(k)
+        assert (low <= want[i, j]).all() and (want[i, j] <= high).all()
+        assert wide is None or (2 * (high - low) <= wide).all()
+        wide = high - low
+    assert (low == want[i, j]).all()
+
+
+def test_candidates_are_dropped_before_the_last_plane(monkeypatch):
+    v = np.random.default_rng(7).integers(-60, 60, (2000, 16))
+    left = []
+    add = Intervals.add
+    monkeypatch.setattr(Intervals, "add", lambda self, k: left.append(add(self, k)) or left[-1])
+    hn.best(v[:3], Planes(v), np.ones((3, 2000), bool), np.ones((3, 2000), int), 5, Params())
+    sizes = [len(x[0]) for x in left]
+    assert sizes[0] == 6000 and sizes[-1] < 600 and sizes == sorted(sizes, reverse=True)
+
+
+def test_query(spark, sf_dir, duck):
+    same_rows(op11(spark, sf_dir), duck.execute(hn.SQL))
