@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from skein.schemas import INPUT_MARK, INSTRUCTION_MARK, OUTPUT_MARK
 
 
 def prompt_text(instruction: Column, input_: Column, output: Column, eos: str) -> Column:
+    """The three fields behind their marks. Null, JSON's too, shows as ``None``; a variant that is no string as its JSON
+    text, so ``true`` and ``[1,2]``."""
     shown = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
     return F.concat(F.lit(INSTRUCTION_MARK), shown(instruction), F.lit("\n\n" + INPUT_MARK), shown(input_), F.lit("\n\n" + OUTPUT_MARK), shown(output), F.lit(eos))
 
@@ -42,22 +45,38 @@ def spans(text: str, start: str, end: str) -> list[tuple[int, int]]:
     return out
 
 
+def labels_of(text: str, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The tokens that begin in a response, -100 for all others. ``sizes`` are the tokens' lengths in bytes.
+
+    So a token that holds the end of a mark and the first characters of a response isn't learned, and one that runs from
+    a response into the next mark is."""
+    out, start = np.full(len(tokens), -100, np.int32), np.cumsum(sizes) - sizes
+    at, byte = 0, 0  # both count along the text, so that it is encoded once
+    for low, high in spans(text, OUTPUT_MARK, INSTRUCTION_MARK):
+        first = byte + len(text[at:low].encode())
+        at, byte = high, first + len(text[low:high].encode())
+        mine = slice(*np.searchsorted(start, [first, byte]))
+        out[mine] = tokens[mine]
+    return out
+
+
 def token_labels(rows: DataFrame, counter: str = "bpe_multi50k", cap: int = 8192) -> DataFrame:
-    """``rows`` with tokens, labels (tokens of responses, else -100), both cut at ``cap``, and n_tokens before the cut."""
+    """``rows`` with tokens, labels (tokens of responses, else -100), both cut at ``cap``, and n_tokens before the cut.
+
+    Tokens are those of the whole text in one encoding, as a trainer makes them; labels follow from the place of each
+    token in the text. A null text is an empty one."""
 
     @F.pandas_udf("struct<tokens:array<int>,labels:array<int>,n_tokens:bigint>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encode = encoding(counter).encode_ordinary
+        own = encoding(counter)
+        size = np.zeros(own.n_vocab, np.int64)
+        for t in own.token_byte_values():
+            size[own.encode_single_token(t)] = len(t)
         for texts in batches:
             out = []
-            for t in texts:
-                tokens, labels, at = [], [], 0
-                for low, high in [*spans(t or "", OUTPUT_MARK, INSTRUCTION_MARK), (len(t or ""),) * 2]:
-                    a, b = encode(t[at:low]) if t else [], encode(t[low:high]) if t else []
-                    tokens += a + b
-                    labels += [-100] * len(a) + b
-                    at = high
-                out.append((tokens[:cap], labels[:cap], len(tokens)))
+            for text in texts:
+                tokens = np.array(own.encode_ordinary(text or ""), np.int32)
+                out.append((tokens[:cap], labels_of(text or "", tokens, size[tokens])[:cap], len(tokens)))
             yield pd.DataFrame(out, columns=["tokens", "labels", "n_tokens"])
 
     return rows.withColumn("_t", run("text")).select("*", "_t.*").drop("_t")
