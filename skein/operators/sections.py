@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,3 +64,53 @@ def header_sections(docs: DataFrame) -> DataFrame:
     # every first line of a section opens a block, so three characters come before it, unless headers changed within one
     joined = rows.groupBy("source_file", "sec_pos", "h1", "h2", "h3").agg(text.alias("content"))
     return joined.select("source_file", "sec_pos", "h1", "h2", "h3", F.regexp_replace("content", r"^(?:  )?\n", "").alias("content"))
+
+
+SECTIONS = "source_file string, sec_pos long, h1 string, h2 string, h3 string, content string"
+_HEADER = re.compile(r"(#{1,3})(?: |$)").match
+
+
+def _printable(line: str) -> str:
+    return line if line.isprintable() else "".join(c for c in line if c == " " or unicodedata.category(c)[0] not in "CZ")
+
+
+def sections_of(md: str) -> list[tuple]:
+    """(sec_pos, h1, h2, h3, content) of one document, by the rules of ``header_sections``."""
+    heads, fence, block = (None, None, None), None, 0
+    out: list[tuple[tuple, list[str]]] = []  # headers and pieces of each section
+    last = None  # headers and block of the line before
+    for line in md.split("\n"):
+        x = _printable(line.strip())
+        mark = x[:3] if x.startswith(("```", "~~~")) else None
+        if fence:
+            fence = None if mark == fence else fence
+        elif mark == "~~~" or mark and x.count(mark) == 1:
+            fence = mark
+        header = None if fence else _HEADER(x)
+        if header:
+            n = len(header[1])
+            heads = (*heads[: n - 1], x[n:].strip(), *(None,) * (3 - n))
+        if header or not x and not fence:
+            block += 1
+            continue
+        if not last or last[0] != heads:
+            out.append((heads, []))
+        out[-1][1].append(("\n" if last and last[1] == block else "  \n") + x)
+        last = heads, block
+    return [(k, *h, re.sub(r"^(?:  )?\n", "", "".join(p))) for k, (h, p) in enumerate(out)]
+
+
+def section_rows(docs: DataFrame) -> DataFrame:
+    """``header_sections`` a document at a time, without windows: for streams, in which there are none. A document is a
+    row, and its sections are made in one task."""
+    kinds = [pa.string(), pa.int64(), *[pa.string()] * 4]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                file, md = b.column("source_file")[k].as_py(), b.column("md")[k].as_py()
+                rows = [(file, *s) for s in sections_of(md)] if md is not None else []
+                columns = zip(*rows) if rows else [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["source_file", "sec_pos", "h1", "h2", "h3", "content"])
+
+    return docs.select("source_file", "md").mapInArrow(run, SECTIONS)

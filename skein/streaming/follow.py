@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from skein.operators import parse, records, split
+from skein.operators.sections import section_rows
 from skein.plans.prepare import merge_records
 from skein.schemas import Config
+from skein.sources.files import file_name, refuse_hidden
 
 
 def follow_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of the lines of new ``*.jsonl`` files, with their file's name."""
+    """A stream of the lines of new ``*.jsonl`` files, with their file's name. Names that Spark skips are refused when the
+    stream starts; a line that isn't UTF-8 fails it."""
+    refuse_hidden(spark, folder, ".jsonl")
     rows = spark.readStream.option("pathGlobFilter", "*.jsonl").text(folder)
-    return rows.select("value", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("block"))
+    return rows.select(F.validate_utf8("value").alias("value"), file_name(), F.col("_metadata.file_block_start").alias("block"))
 
 
 def follow_records(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
@@ -29,6 +33,14 @@ def follow_sections(sections: DataFrame, out: str, checkpoint: str, c: Config =
     return saved.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def follow_documents(spark: SparkSession, folder: str, out: str, checkpoint: str, c: Config = Config()) -> StreamingQuery:
+    """Markdown files that have come since the last run to their saved chunks, appended: sections, split, filters."""
+    refuse_hidden(spark, folder, ".md")
+    docs = spark.readStream.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
+    docs = docs.select(file_name(), F.col("value").alias("md"))
+    return follow_sections(section_rows(docs), out, checkpoint, c)
+
+
 def follow_packing(spark: SparkSession, folder: str, out: str, checkpoint: str, c: Config = Config()) -> StreamingQuery:
     """Pack the files of each batch; a file must have come as a whole, since packing runs through it in order."""
 

@@ -2,7 +2,10 @@
 
 import random
 
-from skein.operators.sections import header_sections
+from skein.operators.sections import header_sections, section_rows
+from skein.plans import prepare
+from skein.schemas import Config
+from skein.streaming import follow
 
 
 def fold(md: str) -> list[tuple]:
@@ -73,3 +76,31 @@ def test_random_documents(spark):
     line = lambda: rng.choice(["# A", "## B", "### C", "# B", "## ", "###", "#### D", "x", "y z", "", "", "  ", "```", "~~~", "```py", "#no"])
     texts = {str(i): "\n".join(line() for _ in range(rng.randint(0, 14))) for i in range(300)}
     assert run(spark, texts) == {k: fold(v) for k, v in texts.items()}
+
+
+def test_document_at_a_time_equals_windows(spark):
+    r = random.Random(5)
+    bits = ["# A", "## B", "### C", "#", "##", "#### d", "text", " x\ty ", "", "\x1c", "```", "~~~", "```py", "``` a ```", "﻿z", "# A b\x07c"]
+    texts = {f"f{i}": "\n".join(r.choice(bits) for _ in range(r.randint(0, 25))) for i in range(300)}
+    docs = spark.createDataFrame([*texts.items(), ("none", None)], "source_file string, md string")
+    want = run(spark, texts)
+    assert sum(map(len, want.values())) > 500
+    got = {k: [] for k in texts}
+    for x in section_rows(docs).orderBy("sec_pos").collect():
+        got[x.source_file].append((x.sec_pos, x.h1, x.h2, x.h3, x.content))
+    assert got == want
+
+
+def test_documents_in_a_stream(spark, tmp_path):
+    src, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    src.mkdir()
+    c = Config(max_tokens=30, overlap=5, min_characters=20, counter="words", min_input=10)
+    texts = {}
+    for n in range(2):
+        texts[f"f{n}.md"] = "\n".join(f"# H{i}\n## S\n" + f"word{n} " * 20 * i for i in range(5))
+        (src / f"f{n}.md").write_text(texts[f"f{n}.md"])
+        follow.follow_documents(spark, str(src), out, cp, c).awaitTermination()
+        docs = spark.createDataFrame(list(texts.items()), "source_file string, md string")
+        cols = ["source_file", "sec_pos", "chunk_pos", "input"]
+        want = prepare.judged_chunks(docs, c).filter("verdict = 'saved'").select(cols).collect()
+        assert sorted(map(tuple, spark.read.parquet(out).select(cols).collect())) == sorted(map(tuple, want)) != []
