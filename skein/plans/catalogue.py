@@ -201,6 +201,20 @@ def jsonl_rejects(spark, d):
     return parse.rejects(read(spark, d, "documents").select("doc_id", F.expr(_JSON).alias("value")))
 
 
+#: lines of every JSON type, one of them malformed and one without a key
+_TYPED = """case doc_id % 8 when 0 then '{"instruction":' || doc_id || ',"input":true,"output":null}' when 1 then '{"instruction":"' || lang || '","input":[1,"ś",{"a":null}],"output":-2.5}'
+  when 2 then '{"id":1,"instruction":{"b":[],"c":' || doc_id || '},"input":"1","output":false}' when 3 then '{"instruction":"' || chr(92) || 'u015b ' || chr(92) || '" ' || chr(92) || chr(92) || ' ' || chr(92) || 'n","input":"","output":"' || source || '"}' when 4 then '{"instruction":1,"input":2}'
+  when 5 then '{"instruction":1,"input":2,"output":' else '{"instruction":"i","input":"x","output":"o"}' end"""
+
+
+@query(f"""with j as (select source, doc_id, {_TYPED} as v from documents), ok as (select source, doc_id, v::json v from j where json_valid(v) and json_exists(v, '$.output'))
+select (v->'$.instruction')::varchar instruction, (v->'$.input')::varchar as input, (v->'$.output')::varchar as output, row_number() over (order by md5(concat_ws(':', '42', source, doc_id::varchar)), source, doc_id)::bigint pos from ok""")
+def typed_final(spark, d):
+    rows = read(spark, d, "documents").select(F.col("source").alias("source_file"), F.col("doc_id").alias("pos_in_file"), F.expr(_TYPED).alias("value"))
+    out = prepare.final_set(rows)
+    return out.select(*(F.to_json(F.col(k)).alias(k) for k in parse.KEYS), F.col("pos").cast("long").alias("pos"))
+
+
 _STRICT = """case doc_id % 4 when 0 then '  ' when 1 then '{"input": "' || lang || '"}' when 2 then '{"instruction": null, "input": "' || source || '"}' else '{"instruction": "i", "input": "x", "output": "gone"}' end"""
 
 

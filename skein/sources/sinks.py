@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.sources import named
+
 
 def json_line(*columns: str) -> Column:
     """The columns as a JSON object in this order, nulls kept, characters as they are."""
@@ -22,24 +22,14 @@ def write_per_source(records: DataFrame, folder: str, by: str = "source_file", o
     rows.write.mode("overwrite" if one else mode).option("partitionOverwriteMode", "dynamic" if one else "static").partitionBy(by).text(folder)
 
 
-def write_empty(spark: SparkSession, folder: str, names: Iterable[str], by: str = "source_file") -> None:
-    """An empty output in place of whatever there is for each of some sources: those that came to no rows."""
-    jvm = spark._jvm
-    for name in names:
-        part = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(by, name)
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{part}")
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.delete(path, True)
-        fs.create(jvm.org.apache.hadoop.fs.Path(path, "part-00000.txt"), True).close()
-
-
-def write_single(records: DataFrame, path: str, order: str | None = None, mode: str = "overwrite") -> None:
-    """One file in a folder, in order. All rows pass one task: for sets that one trainer reads. ``write_ordered`` has no
-    such limit."""
+def write_single(records: DataFrame, path: str, order: str) -> None:
+    """The file ``path``, its lines in order. All rows pass one task: for sets that one trainer reads from one file.
+    ``write_ordered`` has no such limit."""
+    folder, _, name = path.rpartition("/")
     names = [c for c in records.columns if c != order]
-    rows = records.repartition(1)
-    rows = rows.sortWithinPartitions(order) if order else rows
-    rows.select(json_line(*names).alias("value")).write.mode(mode).text(path)
+    rows = records.select(F.lit(name).alias("name"), F.lit(None).cast("string").alias("verdict"), json_line(*names).alias("value"), order)
+    empty = records.sparkSession.range(1).select(F.lit(name).alias("name"), F.lit(None).cast("string").alias("verdict"), F.lit(None).cast("string").alias("value"), F.lit(None).cast(records.schema[order].dataType).alias(order))
+    named.write(rows.unionByName(empty), folder or ".", order)
 
 
 def write_ordered(records: DataFrame, path: str, order: str, mode: str = "overwrite") -> None:

@@ -64,14 +64,15 @@ def test_verdicts(spark):
 
 
 def test_documents_to_final_set(spark, tmp_path):
-    src, out, final = tmp_path / "md", tmp_path / "out", tmp_path / "final"
+    src, out, final = tmp_path / "md", tmp_path / "out", tmp_path / "final.jsonl"
     src.mkdir()
     for n in ("one", "two"):
         (src / f"{n}.md").write_text("\n".join(f"# H{i}\n" + f"{n} word{i} " * 120 for i in range(4)) + "\n# Contents\n" + "x y " * 300)
     c = Config(max_tokens=400, overlap=20, counter="bpe50k", min_characters=300)
     report = {r.source_file: r for r in prepare.documents_to_chunks(spark, str(src), str(out), c).collect()}
-    assert report["one.md"].n_saved > 0 and report["one.md"].n_toc > 0
-    lines = [json.loads(x) for f in (out / "source_file=one").glob("part-*") for x in f.read_text().splitlines()]
+    assert report["one"].n_saved > 0 and report["one"].n_toc > 0
+    assert sorted(p.name for p in out.iterdir()) == ["one.jsonl", "run-report.json", "two.jsonl"]
+    lines = [json.loads(x) for x in (out / "one.jsonl").read_text().splitlines()]
     assert [x["id"] for x in lines] == list(range(1, len(lines) + 1)) and list(lines[0]) == ["id", "instruction", "input", "output"]
     assert prepare.documents_to_chunks(spark, str(src), str(out), c).count() == 0  # all done
     flat = tmp_path / "flat"
@@ -81,11 +82,11 @@ def test_documents_to_final_set(spark, tmp_path):
         prepare.merge_folder(spark, str(flat), str(tmp_path / "m"), c)
     (flat / "one.jsonl").write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in lines) + "\n\n")
     prepare.merge_folder(spark, str(flat), str(tmp_path / "m"), c)
-    merged = [json.loads(x) for f in (tmp_path / "m/merged_file=one-merged.jsonl").glob("part-*") for x in f.read_text().splitlines()]
+    merged = [json.loads(x) for x in (tmp_path / "m/one-merged.jsonl").read_text().splitlines()]
     assert "\n\n".join(x["input"] for x in merged) == "\n\n".join(x["input"] for x in lines)
     assert prepare.prepare_dataset(spark, str(flat), str(final), c)
     rows = files.final_records(spark, str(final))
-    assert sorted(r.input for r in rows.collect()) == sorted(x["input"] for x in lines) and len(list(final.glob("part-*"))) == 1
+    assert sorted(r.input for r in rows.collect()) == sorted(x["input"] for x in lines) and final.is_file()
     assert not prepare.prepare_dataset(spark, str(tmp_path / "nowhere"), str(tmp_path / "f2"), c) and not (tmp_path / "f2").exists()
     shown = prepare.prompts(rows, c).first()
     assert shown.text.startswith("### Instruction:\n") and shown.response == c.eos and not shown.over_cap
@@ -97,7 +98,7 @@ def test_pdf_hook(spark, tmp_path):
     (tmp_path / "x.pdf").write_bytes(b"pdf one")
     (tmp_path / "y.PDF").write_bytes(b"no")
     pdfs = files.pdf_files(spark, str(tmp_path))
-    assert [tuple(r) for r in files.to_markdown(pdfs, lambda b: b.decode().upper()).collect()] == [("x.pdf", "PDF ONE")]
+    assert [tuple(r) for r in files.to_markdown(pdfs, lambda b: b.decode().upper()).collect()] == [("x.pdf", "PDF ONE", None)]
     with pytest.raises(Exception, match="pymupdf4llm"):
         files.to_markdown(pdfs).collect()
 
@@ -143,19 +144,19 @@ def test_outputs_are_replaced_and_empty_ones_written(spark, tmp_path):
     c = Config(skip_existing=False, counter="words")
     for _ in range(2):
         prepare.documents_to_chunks(spark, str(src), out, c)
-        rows = spark.read.text(out).collect()
+        rows = spark.read.text(f"{out}/*.jsonl").collect()
         assert [json.loads(r.value)["id"] for r in rows] == [1]
-    assert (tmp_path / "out" / "source_file=b").is_dir()
+    assert (tmp_path / "out" / "b.jsonl").read_text() == ""
     (src / "a.md").write_text("now short")
     prepare.documents_to_chunks(spark, str(src), out, c)
-    assert spark.read.text(out).count() == 0
+    assert spark.read.text(f"{out}/*.jsonl").count() == 0
 
 
 def test_merged_output_of_an_input_without_rows(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"instruction": "i", "input": "x y", "output": ""}\n')
     (tmp_path / "b c.jsonl").write_text("\n")
     prepare.merge_folder(spark, str(tmp_path), str(tmp_path / "m"))
-    assert sorted(p.name for p in (tmp_path / "m").iterdir() if p.is_dir()) == ["merged_file=a-merged.jsonl", "merged_file=b c-merged.jsonl"]
+    assert sorted(p.name for p in (tmp_path / "m").iterdir()) == ["a-merged.jsonl", "b c-merged.jsonl"]
     assert spark.read.text(str(tmp_path / "m")).count() == 1
 
 
@@ -168,3 +169,18 @@ def test_bad_bytes_lines_and_missing_folders(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)malformed"):
         files.final_records(spark, str(tmp_path / "d")).collect()
     assert files.markdown_files(spark, str(tmp_path / "none")).count() == files.pdf_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_names_are_as_written(spark, tmp_path):
+    odd = ["a b.jsonl", "a+b.jsonl", "50%.jsonl", "ż%20.jsonl", "x=1&y.jsonl"]
+    for n in odd:
+        (tmp_path / n).write_text('{"input": "x"}\n')
+        (tmp_path / n.replace(".jsonl", ".md")).write_text("x")
+    assert sorted(r.source_file for r in files.jsonl_lines(spark, str(tmp_path)).collect()) == sorted(odd)
+    assert sorted(r.source_file for r in files.listed(spark, str(tmp_path), "*.jsonl").collect()) == sorted(odd)
+    assert sorted(r.source_file for r in files.markdown_files(spark, str(tmp_path)).collect()) == sorted(n.replace(".jsonl", ".md") for n in odd)
+    prepare.merge_folder(spark, str(tmp_path), str(tmp_path / "m"), Config(counter="words"))
+    assert sorted(p.name for p in (tmp_path / "m").iterdir()) == sorted(n.replace(".jsonl", "-merged.jsonl") for n in odd)
+    for n in odd:
+        (tmp_path / "m" / n.replace(".jsonl", "-merged.jsonl")).rename(tmp_path / "m" / n)
+    assert sorted(r.stem for r in files.finished(spark, str(tmp_path / "m")).collect()) == sorted(n[:-6] for n in odd)
