@@ -6,6 +6,7 @@ expressions on both sides. ``source`` stands for the file and ``doc_id`` for the
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -260,15 +261,70 @@ def token_count(spark, d):
     return read(spark, d, "documents").select("doc_id", count_tokens(F.col("text"), "bpe_multi50k").alias("n_tokens"))
 
 
-@query()
+#: White space as Python strips it.
+_WHITE = " || ".join(f"chr({c})" for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
+def split_sql(table: str, size: int, overlap: int) -> str:
+    """CTEs that cut ``table`` (key, content) by words into ``chunks`` (key, chunk_pos, content).
+
+    A node is a text and the first separator it may be cut by; its pieces of ``size`` words or more are nodes of the next
+    level. Neighbouring smaller pieces are a run. Running sums of a run give each chunk from the one before: it ends where
+    the sum since its first piece passes the size, and the next one begins at the first piece from which no more than the
+    overlap is left, and the size isn't passed."""
+    return f"""node as (
+  select key, []::bigint[] path, 0 lv, content from {table} where content <> ''
+  union all
+  select key, list_append(path, i), k + 1, piece from (select key, path, k, unnest(pieces) piece, unnest(range(1, len(pieces) + 1)) i from ({_PIECES.format("node")})) where k < 3 and {WORDS.format("piece")} >= {size}),
+piece as (select key, path, i, piece, {WORDS.format("piece")} n, k from (select key, path, k, unnest(pieces) piece, unnest(range(1, len(pieces) + 1)) i from ({_PIECES.format("node")})) where piece <> ''),
+marked as (select *, count(*) filter (n >= {size}) over (partition by key, path order by i) before from piece),
+run as (select key, list_append(path, min(i)) place, list(piece order by i) pieces, list(s order by i) s, list(s - n order by i) q from
+  (select *, sum(n) over (partition by key, path, before order by i) s from marked where n < {size}) group by key, path, before),
+cut as (
+  select *, 1::bigint a, len(list_filter(s, lambda x: x <= {size}))::bigint b from run
+  union all
+  select key, place, pieces, s, q, c, len(list_filter(s, lambda x: x <= q[c] + {size}))::bigint from
+    (select *, greatest(a, len(list_filter(q, lambda x: x < least(s[b], greatest(s[b] - {overlap}, s[b + 1] - {size})))) + 1)::bigint c from cut where b < len(s))),
+chunk as (select key, list_append(place, b) place, trim(array_to_string(pieces[a:b], ''), {_WHITE}) content from cut
+  union all select key, list_append(path, i), piece from piece where n >= {size} and k = 3),
+chunks as (select key, content, row_number() over (partition by key order by place) - 1 chunk_pos from chunk where content <> '')"""
+
+
+#: a node's pieces, and the level of the separator that cut it
+_PIECES = """select *, case when k = 3 then regexp_extract_all(content, '(?s).') else list_transform(string_split(content, sep), lambda x, j: case when j = 1 then x else sep || x end) end pieces
+  from (select *, case k when 0 then chr(10) || chr(10) when 1 then chr(10) else ' ' end sep
+  from (select *, case when lv <= 0 and contains(content, chr(10) || chr(10)) then 0 when lv <= 1 and contains(content, chr(10)) then 1 when lv <= 2 and contains(content, ' ') then 2 else 3 end k from {}))"""
+
+
+@query(f"""with recursive t as (select doc_id as key, text content from documents), {split_sql("t", 500, 50)}
+select key doc_id, content, chunk_pos from chunks""")
 def token_split(spark, d):
     rows = read(spark, d, "documents").select("doc_id", F.col("text").alias("content"))
-    return split.token_split(rows, 500, 50)
+    return split.token_split(rows, 500, 50, "words")
 
 
 @query()
+def token_split_bpe(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.col("text").alias("content"))
+    return split.token_split(rows, 500, 50)
+
+
+_SMALL = Config(max_tokens=500, overlap=50, min_characters=300)
+
+
+@query(f"""with recursive sections as ({ORACLES["header_sections"]}),
+t as (select struct_pack(f := source_file, p := sec_pos, a := h1, b := h2, c := h3) as key, content from sections), {split_sql("t", 500, 50)},
+j as (select key.f source_file, key.p sec_pos, chunk_pos, content, concat('{PREFIX}', concat_ws(' > ', key.a, key.b, key.c), chr(10), chr(10), content) as input from chunks),
+v as (select *, {_VERDICT.format(300)} v from j)
+select source_file, row_number() over (partition by source_file order by sec_pos, chunk_pos)::bigint id, md5('{Config().instruction.replace("'", "''")}') instruction_md5, input, '' as output from v where v = 'saved'""")
 def chunk_records(spark, d):
-    out = prepare.chunk_records(markdown(spark, d), Config(max_tokens=500, overlap=50, min_characters=300))
+    out = prepare.chunk_records(markdown(spark, d), replace(_SMALL, counter="words"))
+    return out.select("source_file", "id", F.md5("instruction").alias("instruction_md5"), "input", "output")
+
+
+@query()
+def chunk_records_bpe(spark, d):
+    out = prepare.chunk_records(markdown(spark, d), _SMALL)
     return out.select("source_file", "id", F.md5("instruction").alias("instruction_md5"), "input", "output")
 
 

@@ -1,5 +1,8 @@
 """Token splitting and packing: invariants and small cases."""
 
+import random
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -67,3 +70,66 @@ def test_counts(spark):
     for name in ("bpe50k", "bpe_multi50k"):
         got = [r[0] for r in rows.select(count_tokens(F.col("t"), name)).collect()]
         assert got[1] is None and got[3] == 0 and got[2] > 1
+
+
+def plain_split(text, size, overlap, count, separators=("\n\n", "\n", " ", "")):
+    """Chunks by the rules, written down once more: recursive cuts, then windows over running lists."""
+    sep, rest = next((s, separators[i + 1 :]) for i, s in enumerate(separators) if s == "" or s in text)
+    pieces = list(text) if sep == "" else [(sep if i else "") + x for i, x in enumerate(text.split(sep))]
+    out, small = [], []
+
+    def windows():
+        at = 0
+        while at < len(small):
+            end = at + 1
+            while end < len(small) and sum(n for _, n in small[at : end + 1]) <= size:
+                end += 1
+            out.append("".join(p for p, _ in small[at:end]).strip())
+            if end == len(small):
+                break
+            while (left := sum(n for _, n in small[at:end])) > overlap or left and left + small[end][1] > size:
+                at += 1
+        small.clear()
+
+    for p in (p for p in pieces if p):
+        n = count([p])[0]
+        if n < size:
+            small.append((p, n))
+            continue
+        windows()
+        out.extend(plain_split(p, size, overlap, count, rest) if rest else [p])
+    windows()
+    return [c for c in out if c]
+
+
+def some_texts(n):
+    r = random.Random(3)
+    bits = ["a", "bb", "ccc ", " ", "\n", "\n\n", "\t", "é", "日本語", "x　", "\x1c", "word word ", "😀", "\r\n", "."]
+    return ["".join(r.choice(bits) for _ in range(r.randint(0, 60))) for _ in range(n)] + ["", " \n ", "a\tb" * 40, "word" * 50]
+
+
+@pytest.mark.parametrize("counter", ["words", "bpe50k", "bpe_multi50k"])
+def test_chunks_equal_a_plain_split(spark, counter):
+    texts, count = some_texts(250), measure(counter)
+    for size, overlap in ((4, 1), (9, 4), (40, 10)):
+        rows = spark.createDataFrame(list(enumerate(texts)), "k int, content string")
+        got = {k: [] for k in range(len(texts))}
+        for x in token_split(rows, size, overlap, counter).orderBy("chunk_pos").collect():
+            assert x.chunk_pos == len(got[x.k])
+            got[x.k].append(x.content)
+        for k, t in enumerate(texts):
+            assert got[k] == (plain_split(t, size, overlap, count) if t else []), (t, size)
+
+
+@pytest.mark.parametrize(("size", "overlap"), [(3, 1), (6, 2), (7, 5), (25, 10)])
+def test_chunks_equal_sql(size, overlap):
+    import duckdb
+
+    from skein.plans.catalogue import split_sql
+
+    texts, con = some_texts(250), duckdb.connect()
+    con.execute("create table t (key int, content varchar)")
+    con.executemany("insert into t values (?, ?)", list(enumerate(texts)))
+    rows = con.execute(f"with recursive {split_sql('t', size, overlap)} select key, chunk_pos, content from chunks").fetchall()
+    want = [(k, i, c) for k, t in enumerate(texts) for i, c in enumerate(split_text(t, size, overlap, words) if t else [])]
+    assert sorted(rows) == want
