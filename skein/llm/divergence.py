@@ -1,10 +1,10 @@
 """Operator 12, source divergence audit by mergeable radix tries.
 
-Each task counts the terms of its documents in a byte trie whose leaves hold, for each (lang, source), the occurrences
-and the documents of the term. A trie that has grown to a bound is sent off and a new one begun. What is sent are
-subtries, cut at prefixes of a few bytes; ranges of prefixes are dealt to tasks, which merge the subtries of a prefix
-into one trie and walk it in UTF-8 order. The walk drops the terms that too few documents of a language hold and
-numbers the others in chunks.
+Each task counts the terms of its documents in byte tries, one a language, whose leaves have a counter for each source:
+occurrences, and documents. Counters lie in flat arrays by leaf and source, added up some hundred thousand terms at a
+time. Tries that have grown to a bound are sent off and new ones begun. What is sent are subtries, cut at prefixes of a
+few bytes; ranges of prefixes are dealt to tasks, which merge the subtries of a prefix into one trie and walk it in
+UTF-8 order. The walk drops the terms that too few documents of the language hold and numbers the others in chunks.
 
 Totals of each group come from the kept counts. A second walk goes through each chunk in the same order with the totals of
 its language: it adds up the differences of each pair of sources, and streams the candidates of each group, whose ties
@@ -28,8 +28,6 @@ from skein.llm.common import cut, table
 
 #: Bytes of terms lower-cased, all others to spaces: a term is a run of ASCII letters and characters from U+0080 on.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: A leaf's counter of a group: documents in the high bits, occurrences in the low ones.
-DOC = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -42,8 +40,9 @@ class Params:
     unit: int = 1_000_000_000
     #: Terms listed of each group.
     top: int = 50
-    #: Counters (term and group) in a task's trie before it is sent off.
-    held: int = 400_000
+    #: Counters (term and source) in a task's tries before they are sent off, and terms added up at a time.
+    held: int = 1_000_000
+    fold: int = 1 << 19
     #: Bytes of the prefixes at which tries are cut.
     prefix: int = 4
     #: Kept terms, and sources, of a block of the second walk.
@@ -54,13 +53,13 @@ class Params:
 
 
 class Trie:
-    """A byte radix trie. A node is [label, children by first byte, leaf]; a leaf is a dict of counters."""
+    """A byte radix trie that numbers its keys as they come. A node is [label, children by first byte, leaf number]."""
 
     def __init__(self):
-        self.root = [b"", {}, None]
+        self.root, self.size = [b"", {}, None], 0
 
-    def leaf(self, key: bytes) -> dict:
-        """The counters of a key, which is inserted if it is new."""
+    def leaf(self, key: bytes) -> int:
+        """The number of a key, which is inserted if it is new."""
         node, at = self.root, 0
         while at < len(key):
             child = node[1].get(key[at])
@@ -78,10 +77,11 @@ class Trie:
             node[1][key[at]] = upper
             node, at = upper, at + n
         if node[2] is None:
-            node[2] = {}
+            node[2] = self.size
+            self.size += 1
         return node[2]
 
-    def walk(self) -> Iterator[tuple[bytes, dict]]:
+    def walk(self) -> Iterator[tuple[bytes, int]]:
         """Keys and leaves in byte order, which is that of UTF-8."""
         stack = [(b"", self.root)]
         while stack:
@@ -89,135 +89,157 @@ class Trie:
             head += node[0]
             if node[2] is not None:
                 yield head, node[2]
-            stack += [(head, node[1][b]) for b in sorted(node[1], reverse=True)]
-
-    def cut(self, n: int) -> Iterator[tuple[bytes, list[tuple[bytes, dict]]]]:
-        """Subtries by their first ``n`` bytes, in order: the prefix, and the rest of each key with its leaf."""
-        held, prefix = [], None
-        for key, leaf in self.walk():
-            if key[:n] != prefix:
-                if held:
-                    yield prefix, held
-                held, prefix = [], key[:n]
-            held.append((key[n:], leaf))
-        if held:
-            yield prefix, held
+            if len(node[1]) == 1:
+                stack += [(head, child) for child in node[1].values()]
+            elif node[1]:
+                stack += [(head, node[1][b]) for b in sorted(node[1], reverse=True)]
+
+
+class Leaves(dict):
+    """Term -> leaf of a trie: the trie is walked once a term."""
+
+    def __init__(self):
+        super().__init__()
+        self.trie = Trie()
+
+    def __missing__(self, term: bytes) -> int:
+        out = self[term] = self.trie.leaf(term)
+        return out
+
+
+def added(leaf: np.ndarray, group: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Counters of equal leaf and group added up, by leaf and then group."""
+    order = np.lexsort((group, leaf))
+    leaf, group = leaf[order], group[order]
+    first = np.flatnonzero(np.r_[True, (leaf[1:] != leaf[:-1]) | (group[1:] != group[:-1])]) if len(leaf) else np.zeros(0, np.int64)
+    return leaf[first], group[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
 
 
-#: A subtrie as sent: its keys, how many counters each leaf has, and the counters one after the other.
-SENT = "prefix binary, keys array<binary>, sizes array<int>, groups array<int>, counts array<long>, docs array<long>, langs array<string>, sources array<string>"
-KEPT = "lang string, part long, chunk int, nth int, term string, source string, n long, whole long"
+class Counts:
+    """The tries of a task, and their counters."""
+
+    def __init__(self):
+        self.leaves: dict[int, Leaves] = {}  # by language
+        self.parts: dict[int, list[tuple]] = {}
+        self.size = 0
+
+    def add(self, lang: int, docs: list[tuple[int, list[bytes], list[int] | None]]) -> None:
+        """Documents of a language: source, terms, and how often each comes (once each time if null)."""
+        leaves = self.leaves.setdefault(lang, Leaves())
+        sizes = np.array([len(t) for _, t, _ in docs])
+        leaf = np.fromiter((x for _, t, _ in docs for x in map(leaves.__getitem__, t)), np.int64, int(sizes.sum()))
+        times = np.concatenate([np.ones(len(t), np.int64) if n is None else np.array(n, np.int64) for _, t, n in docs])
+        doc = np.repeat(np.arange(len(docs)), sizes)
+        leaf, doc, times = added(leaf, doc, times)
+        source = np.array([s for s, _, _ in docs], np.int64)[doc]
+        self.parts.setdefault(lang, []).append(added(leaf, source, times, np.ones(len(leaf), np.int64)))
+        self.size += len(self.parts[lang][-1][0])
+
+    def sent(self, n: int) -> Iterator[pa.RecordBatch]:
+        """The subtries by language and prefix of ``n`` bytes."""
+        for lang, leaves in self.leaves.items():
+            walk = list(leaves.trie.walk())
+            if not walk:
+                continue
+            rank = np.empty(len(walk), np.int64)
+            rank[[i for _, i in walk]] = np.arange(len(walk))
+            parts = [np.concatenate(x) for x in zip(*self.parts[lang])]
+            leaf, source, times, docs = added(rank[parts[0]], *parts[1:])
+            heads = [k[:n] for k, _ in walk]
+            first = [i for i in range(len(walk)) if not i or heads[i] != heads[i - 1]]
+            cuts = np.array([*first, len(walk)], np.int32)
+            sizes = np.bincount(leaf, minlength=len(walk)).astype(np.int32)
+            ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+            by = lambda v, at: pa.ListArray.from_arrays(pa.array(at), v)
+            columns = [pa.array([heads[i] for i in first], pa.binary()), pa.array([lang] * len(first), pa.int64()), by(pa.array([k[n:] for k, _ in walk], pa.binary()), cuts), by(pa.array(sizes), cuts), *(by(pa.array(v), ends[cuts]) for v in (source, times, docs))]
+            batch = pa.RecordBatch.from_arrays(columns, names=["prefix", "lang_id", "terms", "sizes", "source_ids", "times", "docs"])
+            yield from (batch.slice(at, 500) for at in range(0, len(first), 500))
+
+
+#: A subtrie as sent: the rests of its terms, how many counters each has, and the counters one after the other.
+SENT = "prefix binary, lang_id long, terms array<binary>, sizes array<int>, source_ids array<long>, times array<long>, docs array<long>"
+KEPT = "lang_id long, part long, chunk int, nth int, term string, source_id long, n long, whole long"
 
 
 def count(docs: DataFrame, p: Params) -> DataFrame:
-    """(lang, source, text) -> the tasks' tries, a row a subtrie."""
-    schema = pa.schema([("prefix", pa.binary()), ("keys", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("groups", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string()))])
-
-    def send(trie: Trie, names: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
-        for prefix, leaves in trie.cut(p.prefix):
-            used = {g: i for i, g in enumerate(dict.fromkeys(g for _, leaf in leaves for g in leaf))}
-            flat = [c for _, leaf in leaves for c in leaf.values()]
-            rows.append((prefix, [k for k, _ in leaves], [len(leaf) for _, leaf in leaves], [used[g] for _, leaf in leaves for g in leaf], [c % DOC for c in flat], [c // DOC for c in flat], [names[g][0] for g in used], [names[g][1] for g in used]))
-            size += len(flat)
-            if size > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    """(lang_id, source_id, text) -> the tasks' tries, a row a subtrie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, leaves, size, numbers = Trie(), {}, 0, {}
+        out, held, size = Counts(), {}, 0
         for b in batches:
-            for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text")):
-                g = numbers.setdefault((lang, source), len(numbers))
-                for term, c in terms(text.as_py() or "", p.slab).items():
-                    leaf = leaves.get(term)
-                    if leaf is None:
-                        leaf = leaves[term] = trie.leaf(term)
-                    if g in leaf:
-                        leaf[g] += c + DOC
-                    else:
-                        leaf[g] = c + DOC
-                        size += 1
-                if size > p.held:
-                    yield from send(trie, list(numbers))
-                    trie, leaves, size, numbers = Trie(), {}, 0, {}
-        yield from send(trie, list(numbers))
+            for lang, source, text in zip(b.column("lang_id").to_pylist(), b.column("source_id").to_pylist(), b.column("text")):
+                held.setdefault(lang, []).append((source, *terms(text.as_py() or "", p.slab)))
+                size += len(held[lang][-1][1])
+                if size >= p.fold:
+                    for k, d in held.items():
+                        out.add(k, d)
+                    held, size = {}, 0
+                    if out.size >= p.held:
+                        yield from out.sent(p.prefix)
+                        out = Counts()
+        for k, d in held.items():
+            out.add(k, d)
+        yield from out.sent(p.prefix)
 
     return docs.mapInArrow(run, SENT)
 
 
-def terms(text: str, slab: int) -> Counter:
-    """How often a text has each term."""
-    raw, out, at = text.encode("utf-8", "surrogatepass"), Counter(), 0
+def terms(text: str, slab: int) -> tuple[list[bytes], list[int] | None]:
+    """The terms of a text, one after the other; of a very long one each once, with how often it comes."""
+    raw = text.encode("utf-8", "surrogatepass")
     if len(raw) <= slab:
-        return Counter(raw.translate(FOLD).split())
-    rest = b""
-    while at < len(raw):
+        return raw.translate(FOLD).split(), None
+    out, rest = Counter(), b""
+    for at in range(0, len(raw), slab):
         piece = rest + raw[at : at + slab].translate(FOLD)
-        at += slab
-        whole, gap, rest = piece.rpartition(b" ") if at < len(raw) else (piece, b"", b"")
+        whole, _, rest = piece.rpartition(b" ") if at + slab < len(raw) else (piece, b"", b"")
         out.update(whole.split())
-    return out
+    return list(out), list(out.values())
 
 
 def merge(sent: DataFrame, p: Params) -> DataFrame:
     """The subtries of each prefix merged; a row for each kept term of a language and source that has it. ``part`` and
     ``chunk`` name the block of a term, ``nth`` its place there in UTF-8 order."""
-    schema = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("chunk", pa.int32()), ("nth", pa.int32()), ("term", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("whole", pa.int64())])
-
-    def walk(prefix: bytes, trie: Trie, names: list[tuple[str, str]], place: dict) -> list[tuple]:
-        out = []
-        for rest, leaf in trie.walk():
-            docs, whole = Counter(), Counter()
-            for g, (c, d) in leaf.items():
-                docs[names[g][0]] += d
-                whole[names[g][0]] += c
-            kept = {lang for lang, d in docs.items() if d >= p.min_docs}
-            if kept:
-                term, at = (prefix + rest).decode("utf-8", "surrogatepass"), {lang: place.setdefault(lang, [0]) for lang in kept}
-                for g, (c, _) in leaf.items():
-                    lang, source = names[g]
-                    if lang in kept:
-                        out.append((lang, at[lang][0] // p.chunk, at[lang][0] % p.chunk, term, source, c, whole[lang]))
-                for lang in kept:
-                    at[lang][0] += 1
-        return out
+
+    def walked(rows: list[tuple], part: int, place: Counter) -> Iterator[pa.RecordBatch]:
+        """The rows of some neighbouring prefixes, all that there are of each."""
+        for lang in {r[1] for r in rows}:
+            own, leaves = [r for r in rows if r[1] == lang], Leaves()
+            leaf = np.array([leaves[r[0] + t] for r in own for t in r[2].as_py()], np.int64)
+            flat = lambda k: np.concatenate([r[k].values.to_numpy() for r in own])
+            walk = list(leaves.trie.walk())
+            rank = np.empty(len(walk), np.int64)
+            rank[[i for _, i in walk]] = np.arange(len(walk))
+            leaf, source, times, docs = added(rank[np.repeat(leaf, flat(3))], flat(4), flat(5), flat(6))
+            size = np.bincount(leaf, minlength=len(walk))
+            first = np.cumsum(size) - size
+            keep = np.add.reduceat(docs, first) >= p.min_docs
+            whole, nth = np.add.reduceat(times, first), place[lang] + np.cumsum(keep) - 1
+            place[lang] += int(keep.sum())
+            stay = keep[leaf]
+            leaf, source, times = leaf[stay], source[stay], times[stay]
+            names = pa.array([t.decode("utf-8", "surrogatepass") if k else None for (t, _), k in zip(walk, keep.tolist())], pa.string())
+            n = len(leaf)
+            columns = [np.full(n, lang), np.full(n, part), (nth // p.chunk)[leaf].astype(np.int32), (nth % p.chunk)[leaf].astype(np.int32), names.take(pa.array(leaf)), source, times, whole[leaf]]
+            batch = pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["lang_id", "part", "chunk", "nth", "term", "source_id", "n", "whole"])
+            yield from (batch.slice(at, 20_000) for at in range(0, n, 20_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        trie, prefix, numbers, place, held = Trie(), None, {}, {}, []
-
-        def out() -> pa.RecordBatch:
-            lang, chunk, nth, term, source, n, whole = zip(*held) if held else [()] * 7
-            columns = [lang, [part] * len(held), chunk, nth, term, source, n, whole]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
+        part, place, held, size = TaskContext.get().partitionId(), Counter(), [], 0
         for b in batches:
-            for own, keys, sizes, groups, counts, docs, langs, sources in zip(*(b.column(k).to_pylist() for k in range(8))):
-                if own != prefix:
-                    if prefix is not None:
-                        held += walk(prefix, trie, list(numbers), place)
-                        if len(held) > 50_000:
-                            yield out()
-                    trie, prefix, numbers = Trie(), own, {}
-                to, at = [numbers.setdefault(x, len(numbers)) for x in zip(langs, sources)], 0
-                for key, size in zip(keys, sizes):
-                    leaf = trie.leaf(key)
-                    for k in range(at, at + size):
-                        c, d = leaf.get(g := to[groups[k]], (0, 0))
-                        leaf[g] = c + counts[k], d + docs[k]
-                    at += size
-        if prefix is not None:
-            held += walk(prefix, trie, list(numbers), place)
-        yield out()
-
-    # by the whole prefix, so that a range is as narrow as its rows ask
-    return sent.repartitionByRange("prefix").sortWithinPartitions("prefix").mapInArrow(run, KEPT)
+            for k, (prefix, lang) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if size > p.fold and prefix != held[-1][0]:
+                    yield from walked(held, part, place)
+                    held, size = [], 0
+                held.append((prefix, lang, *(b.column(c)[k] for c in range(2, 7))))
+                size += len(held[-1][4])
+        if held:
+            yield from walked(held, part, place)
+
+    # kept, since the ranges are drawn by a look at all prefixes first
+    return cut(sent).repartitionByRange("prefix").sortWithinPartitions("prefix").mapInArrow(run, KEPT)
 
 
 def share(n: np.ndarray, total: np.ndarray, p: Params) -> np.ndarray:
@@ -275,18 +297,25 @@ def audit(docs: DataFrame, p: Params = Params()) -> DataFrame:
     table gives no rows; other columns are ignored. Sources of one language are compared all with all, as the result
     has a row for each pair; they are dealt in blocks, so no task holds more than two blocks of them."""
     docs = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    kept = cut(merge(count(docs, p), p))
+    ids = {"lang_id": F.xxhash64("lang"), "source_id": F.xxhash64("source")}
+    kept = cut(merge(count(docs.withColumns(ids).select(*ids, "text"), p), p))
     # totals by group: kept occurrences, kept terms of the language, and its own total
-    own = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"))
+    own = kept.groupBy("lang_id", "source_id").agg(F.sum("n").alias("n"))
     # a language's terms of a block are numbered from 0
-    terms_ = kept.groupBy("lang", "part", "chunk").agg((F.max("nth") + 1).alias("v")).groupBy("lang").agg(F.sum("v").alias("v"))
-    groups = docs.select("lang", "source").distinct().join(own, ["lang", "source"], "left").join(terms_, "lang", "left")
+    terms_ = kept.groupBy("lang_id", "part", "chunk").agg((F.max("nth") + 1).alias("v")).groupBy("lang_id").agg(F.sum("v").alias("v"))
+    groups = docs.select("lang", "source").distinct().withColumns(ids)
+    groups = groups.join(own, ["lang_id", "source_id"], "left").join(terms_, "lang_id", "left")
     per = Window.partitionBy("lang").orderBy("source")
     smooth = p.prior * F.coalesce("v", F.lit(0))
-    groups = groups.select("lang", "source", (F.coalesce("n", F.lit(0)) + smooth).alias("total"), (F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("lang")) + smooth).alias("lang_total"), F.floor((F.row_number().over(per) - 1) / p.sources).cast("int").alias("block"))
+    groups = groups.select("lang", "source", *ids, (F.coalesce("n", F.lit(0)) + smooth).alias("total"), (F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("lang")) + smooth).alias("lang_total"), F.floor((F.row_number().over(per) - 1) / p.sources).cast("int").alias("block"))
     groups = cut(groups)
-    rows = kept.join(groups.select("lang", "source", "block"), ["lang", "source"])
-    chunks = kept.groupBy("lang", "part", "chunk").agg((F.max("nth") + 1).alias("terms"))
+    n_lang, n_source, langs, sources = groups.agg(F.count_distinct("lang_id"), F.count_distinct("source_id"), F.count_distinct("lang"), F.count_distinct("source")).first()
+    if (n_lang, n_source) != (langs, sources):
+        raise ArithmeticError("two names have one 64-bit hash")
+    named = groups.select("lang", "source", *ids, "block")
+    rows = kept.join(named, ["lang_id", "source_id"]).select("lang", "part", "chunk", "nth", "term", "source", "n", "whole", "block")
+    kept = kept.join(groups.select("lang", "lang_id").distinct(), "lang_id")
+    chunks = cut(kept.groupBy("lang", "part", "chunk").agg((F.max("nth") + 1).alias("terms")))
     blocks = groups.select("lang", "block").distinct()
     pairs = blocks.withColumnRenamed("block", "i").join(blocks.withColumnRenamed("block", "j"), "lang").filter("i <= j")
 

@@ -53,7 +53,7 @@ def some(seed, n=250):
     return [(r.choice(["en", "de", "", None]), r.choice(["s1", "s1", "s1", "s2", "s3", "é", "", None, "Z"]), r.choice([text(), text(), text(), "", None]), 1, "v") for _ in range(n)]
 
 
-@pytest.mark.parametrize("p", [Params(min_docs=3), Params(min_docs=3, held=50, prefix=1, chunk=4, sources=2, top=5, slab=16), Params(min_docs=10, prefix=2, sources=1, chunk=1)])
+@pytest.mark.parametrize("p", [Params(min_docs=3), Params(min_docs=3, held=50, fold=40, prefix=1, chunk=4, sources=2, top=5, slab=16), Params(min_docs=10, prefix=2, sources=1, chunk=1)])
 def test_equals_plain_counts(spark, p):
     rows = some(1)
     assert audited(spark, rows, p) == brute(rows, p) != []
@@ -74,17 +74,23 @@ def test_edges(spark):
 
 def test_trie_is_a_sorted_dict():
     r = random.Random(3)
-    trie, want = Trie(), Counter()
+    trie, want = Trie(), {}
     for _ in range(4000):
         k = bytes(r.choice(b"ab\xc3\xa9") for _ in range(r.randint(1, 7)))
-        leaf = trie.leaf(k)
-        leaf[0] = leaf.get(0, 0) + 1
-        want[k] += 1
-    assert [(k, v[0]) for k, v in trie.walk()] == sorted(want.items())
-    for n in (1, 3):
-        parts = list(trie.cut(n))
-        assert [p for p, _ in parts] == sorted({k[:n] for k in want})
-        assert [p + k for p, x in parts for k, _ in x] == sorted(want)
+        assert trie.leaf(k) == want.setdefault(k, len(want))
+    assert list(trie.walk()) == sorted(want.items()) and trie.size == len(want)
+
+
+def test_subtries_hold_the_counts():
+    out = dv.Counts()
+    out.add(7, [(1, [b"abc", b"abd", b"abc"], None), (2, [b"abc"], None), (1, [b"b", b"abc"], [5, 2])])
+    out.add(7, [(1, [b"b"], None)])
+    (batch,) = out.sent(2)
+    rows = [{k: v for k, v in r.items() if k != "lang_id"} for r in batch.to_pylist()]
+    assert rows == [
+        {"prefix": b"ab", "terms": [b"c", b"d"], "sizes": [2, 1], "source_ids": [1, 2, 1], "times": [4, 1, 1], "docs": [2, 1, 1]},
+        {"prefix": b"b", "terms": [b""], "sizes": [1], "source_ids": [1], "times": [6], "docs": [2]},
+    ]
 
 
 def test_shares_are_exact():
