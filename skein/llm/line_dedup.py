@@ -1,22 +1,25 @@
 """Operator 7, line dedup: winnowing over line hashes.
 
 A run of lines is full if it holds ``min_words`` words or ``max_lines`` lines with words. Blank lines are passed over
-when runs are formed and compared; they belong to the run around them or, at an end of the text, beside them. Grams
-are the full runs that aren't full without their last line, and those that aren't without their first. Every line of a
-repeated full run is in such a gram inside the run: in the first kind from the run's start, or else in the second kind
-that ends with the line. So with a ``window`` of 1, where each gram is a fingerprint, all repeated full runs are found
-to the line, and nothing else is.
-
-Fingerprints are joined with the first place in the corpus (by doc_id, then line) of the same gram, and the later gram
-is deleted. All of it is DataFrame expressions: fingerprints are rows, minima are taken before they are shuffled.
+when runs are formed and compared; they belong to the run around them or, at an end of the text, beside them.
+
+Winnowing: from every line a window goes over the shortest full run that begins there, or its first ``window`` lines, and
+the line of least hash in it is a fingerprint. A full run that stands in two places holds such a window in both, so they
+share the fingerprint: none is missed. Neighbouring windows mostly have one minimum, so few lines are fingerprints.
+
+Positions are joined by fingerprint; where one stands alone, nothing around it is repeated, and it ends there. Each other
+position is extended both ways, to the full runs around it: those of its windows that aren't full without their last
+line, and their longer kin that aren't full without their first. A very common line has very many positions, so these
+aren't compared pair by pair: the hash of each run is joined with the first place in the corpus (by doc_id, then line) of
+the same run, and the later one is deleted. Longer matches are unions of such runs, each with a fingerprint of its own;
+together they are deleted to the line. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.common import WORD, boxed, cut, table
@@ -27,8 +30,8 @@ class Params:
     #: A repeated run counts if it holds so many words, or so many lines with words.
     min_words: int = 50
     max_lines: int = 5
-    #: Neighbouring grams of which the least is a fingerprint. From 2 on, a run that holds fewer grams can be missed.
-    window: int = 1
+    #: Most lines of a window, of which the least is a fingerprint; up to the shortest full run, whatever the number.
+    window: int = 5
 
 
 def line_hashes(lines: Column) -> Column:
@@ -37,7 +40,8 @@ def line_hashes(lines: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
-    """row, at and last (first and last line of the gram), f (its hash), one row each."""
+    """row, f (the line hash of a fingerprint) and runs, an array of at, last (first and last line) and g (hash) of the full
+    runs around it; a row a fingerprint."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     out = docs.select("row", lines.alias("lines"))
     out = out.select("row", "lines", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
@@ -57,38 +61,48 @@ def fingerprints(docs: DataFrame, p: Params) -> DataFrame:
         return out
 
     out = out.withColumn("m", F.transform("h", lambda _, i: size(i)))
+
+    def least_line(m: Column, i: Column) -> Column:
+        """The line of least hash in the window from line i, whose shortest full run has m lines."""
+        best, at = F.get(h, i), i
+        for j in range(1, min(k, p.window)):
+            x = F.get(h, i + j)
+            better = (m > j) & (x < best)
+            best, at = F.when(better, x).otherwise(best), F.when(better, i + j).otherwise(at)
+        return F.when(m.isNotNull(), at)
+
+    out = out.withColumn("s", F.transform("m", least_line))
+    # minima of windows one after the other never go back, so equal ones are neighbours
+    first = F.filter(F.transform("s", lambda x, i: F.when((i == 0) | ~x.eqNullSafe(F.get("s", i - 1)), x)), lambda x: x.isNotNull())
     # outer: a plain explode would make Spark test the array's size first, and so make it twice
-    places = F.filter(F.transform("m", lambda _, i: i), lambda i: F.get("m", i).isNotNull())
-    out = out.select("row", "pos", "n_lines", "h", "m", F.explode_outer(places).alias("at")).filter("at is not null")
-    # from m lines on the run is full; up to m of the next line it isn't without its first
-    at, m = F.col("at"), F.get("m", F.col("at"))
-    most = F.least(F.coalesce(F.get("m", at + 1), F.lit(k)), F.lit(k), F.size("h") - at)
-    out = out.select("row", "pos", "n_lines", "h", "at", F.explode(F.sequence(m, F.greatest(m, most))).alias("n"))
-    n = F.col("n")
-    part = lambda a, j: F.when(n > j, F.get(a, at + j))
-    end = at + n
-    low = F.when(at == 0, 0).otherwise(F.get("pos", at))
-    last = F.when(end == F.size("h"), F.col("n_lines")).otherwise(F.get("pos", end - 1) + 1) - 1
-    out = out.select("row", low.alias("at"), last.alias("last"), F.xxhash64(n, *(part(h, j) for j in range(k))).alias("f"))
-    return winnowed(out, p.window) if p.window > 1 else out
-
-
-def winnowed(marks: DataFrame, window: int) -> DataFrame:
-    """Of every ``window`` neighbours in a row, the one of least hash, and every gram of a single line."""
-    by = Window.partitionBy("row").orderBy("at", "last")
-    out = marks.distinct()
-    for first in range(1 - window, 1):
-        out = out.withColumn(f"least{first}", F.min("f").over(by.rowsBetween(first, first + window - 1)))
-    least = [F.col("f") == F.col(f"least{first}") for first in range(1 - window, 1)]
-    return out.filter(reduce(Column.__or__, least, F.col("at") == F.col("last"))).select(marks.columns)
+    out = out.select("row", "pos", "n_lines", "h", "m", "s", F.explode_outer(first).alias("at")).filter("at is not null")
+
+    def runs(i: Column) -> Column:
+        """The full runs from line i of which the fingerprint is told: the shortest one, and those up to the next line's."""
+        m = F.get("m", i)
+        most = F.least(F.coalesce(F.get("m", i + 1), F.lit(k)), F.lit(k), F.size("h") - i)
+
+        def run(n: Column) -> Column:
+            end = i + n
+            low = F.when(i == 0, 0).otherwise(F.get("pos", i))
+            last = F.when(end == F.size("h"), F.col("n_lines")).otherwise(F.get("pos", end - 1) + 1) - 1
+            return F.struct(low.alias("at"), last.alias("last"), F.xxhash64(n, *(F.when(n > j, F.get(h, i + j)) for j in range(k))).alias("g"))
+
+        return F.transform(F.sequence(m, F.greatest(m, most)), run)
+
+    # windows that tell of a line begin at it or up to a window before it
+    starts = F.filter(F.array(*(F.col("at") - j for j in range(min(k, p.window)))), lambda i: (i >= 0) & F.get("s", i).eqNullSafe(F.col("at")))
+    return out.select("row", F.get("h", F.col("at")).alias("f"), F.flatten(F.transform(starts, runs)).alias("runs"))
 
 
 def deletions(docs: DataFrame, p: Params) -> DataFrame:
     """(row, gone): the lines of each row to delete, numbered from 0. ``docs`` has row and text."""
-    marks = cut(fingerprints(docs, p))
-    # cut, so that it meets the places by a shuffle of its own, which can split a fingerprint with very many of them
-    first = cut(marks.groupBy("f").agg(F.min(F.struct("row", "at", "last")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("f", "first"))
-    found = marks.join(first, "f").filter(~(F.col("row") == F.col("first.row")) | ~(F.col("at") == F.col("first.at")))
+    prints = cut(fingerprints(docs, p))
+    # cut, so that they meet what they are joined with by a shuffle of its own, which can split a very common one
+    common = cut(prints.groupBy("f").count().filter("count > 1").select("f"))
+    marks = cut(prints.join(common, "f", "left_semi").select("row", F.inline("runs")))
+    first = cut(marks.groupBy("g").agg(F.min(F.struct("row", "at", "last")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("g", "first"))
+    found = marks.join(first, "g").filter(~(F.col("row") == F.col("first.row")) | ~(F.col("at") == F.col("first.at")))
     # within a document, the first occurrence stays as it is: a run that overlaps it begins behind it
     low = F.when(F.col("row") == F.col("first.row"), F.greatest("at", F.col("first.last") + 1)).otherwise(F.col("at"))
     spans = found.select("row", low.alias("low"), "last").distinct()

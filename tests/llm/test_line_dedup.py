@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from skein.llm import line_dedup as l
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,6 +66,25 @@ def test_guarantee_and_whole_first_occurrences(spark):
     assert sum(r.n_deleted for r in out.values()) > 100
 
 
+@pytest.mark.parametrize("window", [1, 2, 4, 5])
+def test_runs_that_hold_one_window(spark, window):
+    """160 lines in runs of exactly the limit, each between other neighbours in its two places: all go."""
+    docs = [(2 * k + at, "\n".join([f"own{k} {at}", *(words(f"r{k}_{j}_", 13) for j in range(4)), f"end{k} {at}"])) for k in range(40) for at in range(2)]
+    assert sum(r.n_deleted for r in run(spark, docs, l.Params(window=window))) == 160
+
+
+def test_fewer_fingerprints_than_runs(spark):
+    rng = random.Random(9)
+    text = "\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(2000))
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string").select(F.struct("doc_id").alias("row"), "text")
+    one, five = (l.fingerprints(docs, l.Params(window=n)) for n in (1, 5))
+    n = five.select(F.explode("runs")).distinct().count()
+    assert one.count() >= 1990 and one.select(F.explode("runs")).distinct().count() == n
+    assert five.count() < 0.45 * n and five.count() < 0.45 * one.count()
+
+
 def test_runs_of_exactly_the_limit(spark):
     """Runs that hold one gram and no more, between different neighbours, and tails that hold none by themselves."""
     docs = []
@@ -78,9 +99,11 @@ def test_runs_of_exactly_the_limit(spark):
     assert got[100] == docs[-3][1] and got[101] == f"x2\n{words('t2_', 5)}\ny2" and got[102] == "x3\ny3"
 
 
-def test_equals_all_runs(spark):
+@pytest.mark.parametrize("window", [1, 2, 3, 4])
+@pytest.mark.parametrize(("seed", "min_words", "max_lines"), [(5, 12, 3), (6, 20, 5)])
+def test_equals_all_runs(spark, window, seed, min_words, max_lines):
     """What is deleted is every full run that an earlier document has, to the line."""
-    rng, p = random.Random(5), l.Params(min_words=12, max_lines=3)
+    rng, p = random.Random(seed), l.Params(min_words=min_words, max_lines=max_lines, window=window)
     pool = [" ".join(f"k{j}_{i}" for i in range(rng.randint(1, 9))) for j in range(40)]
     docs = []
     for i in range(80):
@@ -89,7 +112,7 @@ def test_equals_all_runs(spark):
     got, seen = {r.doc_id: r.text for r in run(spark, docs, p)}, set()
     for i, t in docs:
         lines, gone = t.split("\n"), set()
-        runs = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if b - a >= 3 or len(W.findall(" ".join(lines[a:b]))) >= 12]
+        runs = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if b - a >= max_lines or len(W.findall(" ".join(lines[a:b]))) >= min_words]
         first = {}
         for a, b in runs:
             key = tuple(lines[a:b])
