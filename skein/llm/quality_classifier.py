@@ -145,8 +145,9 @@ def train(labelled: DataFrame, p: Params) -> tuple[np.ndarray, float]:
         texts, classes, chars = [], [], 0
         for b in batches:
             for t, q in zip(b.column("text"), b.column("quality")):
-                chars += len(text := t.as_py() or "")
-                if chars <= p.max_chars:
+                text = t.as_py() or ""
+                if chars + len(text) <= p.max_chars:  # one that is too long is left out alone
+                    chars += len(text)
                     texts.append(text)
                     classes.append(q.as_py())
         vectors, layer, bias = fit(texts, np.array(classes, np.int64), p)

@@ -82,3 +82,13 @@ def test_the_sample_is_of_labelled_documents(spark):
     assert len({round(x, 9) for x in score.values()}) > 1 and np.mean([score[i] for i in range(1, 60, 2)]) > np.mean([score[i] for i in range(0, 60, 2)])
     none = q.classify(docs, labels, q.Params(max_chars=10, steps=50)).collect()
     assert {r.score for r in none} == {0.5}
+
+
+def test_one_huge_text_is_left_out_of_the_sample_alone(spark):
+    rows = [(i, ("good calm words here " if i % 2 else "bad junk spam noise ") * 5, i % 2) for i in range(40)]
+    huge = [(1000 + i, "x " * 60_000, 1) for i in range(3)]
+    both = rows + huge
+    docs = spark.createDataFrame([(i, t) for i, t, _ in both], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in both], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in q.classify(docs, labels, q.Params(max_chars=20_000, steps=2000)).collect()}
+    assert all((got[i] > 0.5) == bool(y) for i, _, y in rows)
