@@ -7,6 +7,9 @@ beyond those of ``documents`` pass all stages but the last, whatever their names
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,27 +17,44 @@ from skein.llm import line_dedup, minhash, mixing, packing, quality_classifier
 from skein.llm.common import cut, table
 
 
+def passing(stage: Callable[[DataFrame], DataFrame], docs: DataFrame, *names: str) -> DataFrame:
+    """``stage`` of ``docs``, with the columns of ``docs`` alone. Those that have one of the ``names`` which the stage itself
+    adds are called otherwise until it is done."""
+    own, taken = {}, {c.lower() for c in docs.columns} | {n.lower() for n in names}
+    for c in docs.columns:
+        if c.lower() in names:
+            own[c] = next(x for k in count() if (x := f"{c}_{k}").lower() not in taken)
+            taken.add(own[c].lower())
+    out = stage(docs.withColumnsRenamed(own))
+    return out.select(*(F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned on them and the labels, predicts to be good."""
-    return quality_classifier.classify(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return passing(lambda d: quality_classifier.classify(d, labels).filter("predicted = 1"), docs, "score", "predicted", "held_out")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later repeated runs of lines; a document that was nothing else goes."""
-    out = line_dedup.dedup_lines(docs)
-    left = (F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return out.filter(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+    def clean(docs: DataFrame) -> DataFrame:
+        out = line_dedup.dedup_lines(docs)
+        left = (F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+        return out.filter(left).withColumn("n_chars", F.length("text").cast("long"))
+
+    return passing(clean, docs, "n_lines", "n_deleted")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by the same four words and 80 % as the operator's own query."""
-    return minhash.keep_first(docs, minhash.Params(words=4)).select(*docs.columns)
+    return minhash.keep_first(docs, minhash.Params(words=4))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture of sources at their target weights; a document comes as often as it is drawn. Rows lie by shard, in
     each shard's own order."""
-    return mixing.mix(docs).select(*docs.columns)
+    return passing(mixing.mix, docs, "m_shard", "m_order")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
