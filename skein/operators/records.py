@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import breadcrumb, is_toc, prefixed
+from skein.functions.tokens import count_tokens
 from skein.schemas import Config
 
 
@@ -36,6 +37,12 @@ def training_records(judged: DataFrame, order: Sequence[str], c: Config = Config
     return saved.select("source_file", "id", F.lit(c.instruction).alias("instruction"), "input", F.lit("").alias("output"))
 
 
+def with_tokens(rows: DataFrame, budget: int = 6000, counter: str = "words") -> DataFrame:
+    """``rows`` with n_tokens of the whole input and over_budget: the headers put before a chunk may take it over the budget
+    that it was cut by. A null input has null for both."""
+    return rows.withColumn("n_tokens", count_tokens(F.col("input"), counter)).withColumn("over_budget", F.col("n_tokens") > budget)
+
+
 def run_report(judged: DataFrame) -> DataFrame:
     """Per file: all chunks, saved ones, and those dropped by each reason."""
     n = lambda v: F.count_if(F.col("verdict") == v)

@@ -322,6 +322,12 @@ def chunk_records(spark, d):
     return out.select("source_file", "id", F.md5("instruction").alias("instruction_md5"), "input", "output")
 
 
+@query(f"select source_file, id, {WORDS.format('input')} n_tokens, {WORDS.format('input')} > 500 over_budget from ({ORACLES['chunk_records']})")
+def record_tokens(spark, d):
+    out = prepare.chunk_records(markdown(spark, d), replace(_SMALL, counter="words"))
+    return records.with_tokens(out, 500).select("source_file", "id", "n_tokens", "over_budget")
+
+
 @query()
 def chunk_records_bpe(spark, d):
     out = prepare.chunk_records(markdown(spark, d), _SMALL)

@@ -3,6 +3,7 @@ final set and its prompts."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +17,8 @@ from skein.operators.incremental import skip_existing
 from skein.schemas import Config
 from skein.sources import files, named, sinks
 
+log = logging.getLogger(__name__)
+
 
 def judged_chunks(docs: DataFrame, c: Config = Config()) -> DataFrame:
     """(source_file, md) -> every chunk with its headers, input and verdict."""
@@ -69,7 +72,9 @@ def documents_to_chunks(spark: SparkSession, folder: str, out: str, c: Config =
     docs = files.to_markdown(found, convert) if convert else found
     if convert:
         docs = keep(docs)  # converted once, for its texts and its errors
+    log.info("%s: writing chunks of what isn't done yet to %s", folder, out)
     named.write(chunk_lines(docs, found, c), out, "at", report=True)
+    log.info("%s: done, counts by file in %s", folder, named.REPORT)
     return written_report(spark, out)
 
 
@@ -89,6 +94,7 @@ def merge_folder(spark: SparkSession, folder: str, out: str | None = None, c: Co
     rows = merge_records(files.jsonl_lines(spark, folder, dotfiles=True), c, separator_tokens)
     rows = rows.select(F.col("merged_file").alias("name"), none.alias("verdict"), sinks.json_line("id", "instruction", "input", "output").alias("value"), F.col("id").alias("at"))
     every = files.listed(spark, folder, "*.jsonl").select(merged_name(F.col("source_file")).alias("name"), none.alias("verdict"), none.alias("value"), F.lit(0).cast("long").alias("at"))
+    log.info("%s: packing to %d tokens into %s", folder, c.max_tokens, out)
     named.write(rows.unionByName(every), out, "at")
 
 
@@ -110,12 +116,14 @@ def prepare_dataset(spark: SparkSession, folder: str, out: str, c: Config = Conf
     """All ``*.jsonl`` of ``folder``, shuffled, to the file ``out`` if its name ends in ``.jsonl``, and else to a folder of
     files, each a range of the order. Without such inputs nothing is written: False."""
     if not files.names(spark, folder, ".jsonl"):
+        log.warning("%s: no files, nothing is written", folder)
         return False
     rows = final_set(files.jsonl_lines(spark, folder).withColumnRenamed("pos", "pos_in_file"), c)
     if out.endswith(".jsonl"):
         sinks.write_single(rows, out, "pos")
     else:
         sinks.write_ordered(rows, out, "pos")
+    log.info("%s: set written to %s", folder, out)
     return True
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -10,7 +10,7 @@ from skein.operators import parse, records, split
 from skein.operators.sections import section_rows
 from skein.plans.prepare import merge_records
 from skein.schemas import Config
-from skein.sources.files import file_name, refuse_hidden
+from skein.sources.files import file_name, numbered, refuse_hidden
 
 
 def follow_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,8 +45,7 @@ def follow_packing(spark: SparkSession, folder: str, out: str, checkpoint: str,
     """Pack the files of each batch; a file must have come as a whole, since packing runs through it in order."""
 
     def pack(batch: DataFrame, n: int) -> None:
-        order = Window.partitionBy("source_file").orderBy("block", F.monotonically_increasing_id())
-        lines = batch.withColumn("pos", F.row_number().over(order)).drop("block")
+        lines = numbered(batch.withColumn("at", F.monotonically_increasing_id())).drop("block", "at")
         merge_records(lines, c).write.mode("overwrite").parquet(f"{out}/batch={n}")
 
     return follow_lines(spark, folder).writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
