@@ -37,18 +37,18 @@ class Params:
     #: Links from which a block inside the container that is nothing but links is a menu, and the share that makes it one.
     menu_links: int = 3
     menu_density: float = 0.9
-    #: Share of link text up to which a section of the article stays whose id alone could be its subject.
+    #: Share of link text up to which a part of the article stays whose name could be its subject.
     subject_density: float = 0.3
 
 
 # Names of HTML elements by their role.
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
 ENDS_P = BLOCK - frozenset("body html li dd dt td th tr tbody thead tfoot caption summary".split())
-DROP = frozenset("head script style title textarea noscript iframe noembed noframes xmp template svg math object applet canvas audio video nav footer aside button select option datalist dialog menu fieldset label".split())
+DROP = frozenset("head script style title textarea noscript iframe noembed noframes xmp template svg annotation annotation-xml object applet canvas audio video nav footer aside button select option datalist dialog menu fieldset label".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar tooltip status form".split())
 #: Words of class and id attributes that mark what isn't the article.
 DROP_WORDS = frozenset(
@@ -60,8 +60,16 @@ TALK_WORDS = frozenset("comment comments commentlist discussion discussions disq
 OWN_WORDS = frozenset("article content entry post story".split())
 #: Those that are as often the subject of a section of the article as what stands beside it.
 SUBJECT_WORDS = frozenset("ad ads adv alert alerts banner consent cookie cookies copyright discussion discussions feedback footer header login menu menus modal navigation notice notices notification overlay privacy promotion recommended related reply respond response responses share sharing skip social sponsor subscription widget widgets".split())
+#: Those that name a part of a text itself, in class or id, unless readers' words or a form are in it.
+TOPIC_WORDS = frozenset("consent copyright discussion discussions feedback privacy response responses".split())
+#: Words for a box. Inside an article a name counts if it is made of these and unwanted words alone: "ad-box", but not
+#: "response-curve", "share-heading" or "privacy-in-law".
+BOX_WORDS = frozenset(
+    "area article articles bar block bottom box btn button buttons center col column container content count cta entries entry fixed float form global group icon icons inline inner item items js large left link links list main mobile outer page panel post posts primary right row rows secondary section site slot small sticky stories text the this thread top unit us with wp wrap wrapper you your zone".split()
+)
 #: Elements inside an article whose id is an anchor of its text and says nothing of their role.
 ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote li dt dd td th tr table figure a span".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a class name alone doesn't take out.
 SAFE = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption address summary".split())
@@ -79,8 +87,9 @@ PIECES = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
 #: Why an element is taken out: for good; or by a name, of readers' words or other ones, unless it turns out to be a wrapper;
-#: or by its id inside an article if it is full of links.
-ALWAYS, TALK, NAME, SUBJECT = 4, 3, 2, 1
+#: or, inside an article, by a name that its subject may have, if it is full of links or holds a form or readers' words; if
+#: the name is a class, then also if it has no heading.
+ALWAYS, TALK, NAME, HEADED, SUBJECT = 5, 4, 3, 2, 1
 
 
 def unwanted(tag: str, attrs: str, in_article: bool) -> int:
@@ -100,13 +109,17 @@ def unwanted(tag: str, attrs: str, in_article: bool) -> int:
             return ALWAYS
         if name in ("class", "id") and (tag not in SAFE or (tag == "article" and in_article)):
             names = {w.lower() for w in PIECES.findall(value)}
-            if found := names & DROP_WORDS - ({"header"} if in_article or names & OWN_WORDS else set()):
-                if name == "id" and in_article and tag in ANCHORED:
+            if not (found := names & DROP_WORDS - ({"header"} if in_article or names & OWN_WORDS else set())):
+                continue
+            if in_article:
+                each = [{w.lower() for w in PIECES.findall(x)} for x in value.split()]
+                found = found & set().union(*(x for x in each if x <= DROP_WORDS | BOX_WORDS))
+                if not found or name == "id" and tag in ANCHORED:
+                    continue
+                if not found - TOPIC_WORDS or name == "id" and tag == "section" and not found - SUBJECT_WORDS:
+                    out = max(out, SUBJECT if name == "id" else HEADED)
                     continue
-                if name == "id" and in_article and tag == "section" and not found - SUBJECT_WORDS:
-                    out = max(out, SUBJECT)
-                else:
-                    out = max(out, TALK if found & TALK_WORDS else NAME)
+            out = max(out, TALK if found & TALK_WORDS else NAME)
     return out
 
 
@@ -155,7 +168,7 @@ class Tree:
             attrs = m[3] if m[2] else m[6]
             why = unwanted(tag, attrs, article > 0)
             if tag in RAW:
-                if attrs.endswith("/") and tag in ("svg", "math"):
+                if attrs.endswith("/") and tag == "svg":
                     continue
                 close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
                 at = close.end() if close else end
@@ -187,8 +200,12 @@ def dropped(t: Tree, p: Params) -> list[bool]:
         articles[i] = int(t.kept[i] and t.tag[i] in ("article", "main"))
         holds[i] = t.kept[i] and t.tag[i] in ("h1", "main")
     free = any(articles[i] and not named[i] for i in range(n))
+    talks = [False] * n  # something in it is a form, or named after readers' words
+    headed = [x in HEADINGS for x in t.tag]
     for i in range(n - 1, 0, -1):
+        talks[t.parent[i]] |= talks[i] or t.tag[i] == "form" or t.why[i] == TALK
         holds[t.parent[i]] |= holds[i]
+        headed[t.parent[i]] |= headed[i]
         articles[t.parent[i]] += articles[i]
     for i in range(1, n):
         talk[i] = talk[t.parent[i]] or (t.why[i] == TALK and not holds[i])
@@ -206,7 +223,8 @@ def dropped(t: Tree, p: Params) -> list[bool]:
     for i in range(1, n):
         own = mass[i] - direct[i] if free and not articles[i] and not holds[i] else mass[i]
         by_name = t.why[i] in (NAME, TALK) and (talk[i] or not own or own < p.wrapper * mass[0])
-        by_subject = t.why[i] == SUBJECT and linked[i] > p.subject_density * every[i]
+        other = talks[i] or linked[i] > p.subject_density * every[i] or t.why[i] == HEADED and not headed[i]
+        by_subject = t.why[i] in (SUBJECT, HEADED) and other
         out[i] = out[t.parent[i]] or by_name or by_subject
     return out
 

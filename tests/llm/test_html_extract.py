@@ -128,3 +128,49 @@ def test_ids_inside_the_article_are_anchors():
 def test_deep_nesting():
     n = 20_000
     assert h.main_text("<div>" * n + "<p>Words, at the bottom of it, of a paragraph.</p>" + "</div>" * n) == "Words, at the bottom of it, of a paragraph."
+
+
+TEXT = "Some words of the article, which go on for a while, as they do, and then come to an end. " * 3
+
+
+def inside(part):
+    return h.main_text(f"<html><body><article><h1>Title</h1><p>{TEXT}</p>{part}<p>{TEXT}</p></article></body></html>")
+
+
+def test_names_inside_the_article_that_say_nothing_of_a_role():
+    for part in (
+        "<div class=section id=discussion><h2>Discussion</h2><p>We found it so.</p></div>",
+        "<div id=privacy-in-law><p>We found it so.</p></div>",
+        "<section class=discussion><h2>Discussion</h2><p>We found it so.</p></section>",
+        "<section id=comments-on-the-method><p>We found it so.</p></section>",
+        "<h2 class=share-heading>We found it so.</h2>",
+        "<div class=response-curve><p>We found it so.</p></div>",
+        "<p class=has-menu-font>We found it so.</p>",
+        "<table class=promo-codes><tr><td>We found it so.</td></tr></table>",
+        "<div class='notice-of-motion'><p>We found it so.</p></div>",
+        "<section id=feedback><p>We found it so.</p></section>",
+    ):
+        assert "We found it so." in inside(part), part
+    assert "x = 2" in inside("<p>If <math><mi>x</mi> <mo>=</mo> <mn>2</mn><annotation encoding='application/x-tex'>\\tex</annotation></math> then</p>")
+    assert "tex" not in inside("<math><mi>x</mi><annotation>\\tex</annotation></math>")
+
+
+def test_what_is_no_article_goes_from_inside_it():
+    for part in (
+        "<div class=ad>Gone it is</div>",
+        "<div class='ad-box top'>Gone it is</div>",
+        "<div class=adSlot>Gone it is</div>",
+        "<div id=cookie-notice>Gone it is</div>",
+        "<aside>Gone it is</aside>",
+        "<div class=share-buttons>Gone it is</div>",
+        "<div class='related posts'><a href=x>Gone it is</a></div>",
+        "<section id=comments><h2>Comments</h2><p>Gone it is</p></section>",
+        "<div class=comment-list><p>Gone it is</p></div>",
+        "<section class=discussion><div class=comment><p>Gone it is</p></div></section>",
+        "<div id=responses><p>Gone it is</p><form><input></form></div>",
+        "<section id=discussion><a href=x>Gone it is</a></section>",
+        "<form><p>Gone it is</p></form>",
+        "<div class=newsletter-signup>Gone it is</div>",
+        "<div class=sponsored>Gone it is</div>",
+    ):
+        assert "Gone it is" not in inside(part) and TEXT.strip() in inside(part), part
