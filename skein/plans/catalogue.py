@@ -5,6 +5,7 @@ expressions on both sides. ``source`` stands for the file and ``doc_id`` for the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -12,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import text as tx
+from skein.functions.lineage import shared_folder
 from skein.functions.tokens import count_tokens
 from skein.operators import dataset, pack, parse, prompt, records, sections, split
 from skein.operators.incremental import skip_existing
 from skein.plans import prepare
 from skein.schemas import PREFIX, Config
+from skein.sources import files, named, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -256,6 +259,20 @@ def annotations_join(spark, d):
     return prepare.attach_outputs(rows, notes).select(F.col("id").alias("doc_id"), "output")
 
 
+#: documents spread over some hundred files, so that no source is one file
+_FILE = "concat(source, ' ', doc_id % 16, '.jsonl')"
+
+
+@query(f"""select {_FILE} source_file, row_number() over (partition by {_FILE} order by doc_id)::bigint pos, md5(to_json(struct_pack(id := doc_id, instruction := lang, input := text, output := case when doc_id % 3 = 0 then null else source end))::varchar) line_md5
+from documents""")
+def written_lines(spark, d):
+    """Records to named files and back, line by line."""
+    rows = read(spark, d, "documents").select(F.expr(_FILE).alias("name"), F.col("doc_id").alias("id"), F.col("lang").alias("instruction"), F.col("text").alias("input"), F.expr("case when doc_id % 3 = 0 then null else source end").alias("output"))
+    folder = f"{shared_folder(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    named.write(rows.select("name", F.lit("saved").alias("verdict"), sinks.json_line("id", "instruction", "input", "output").alias("value"), F.col("id").alias("at")), folder, "at")
+    return files.jsonl_lines(spark, folder).select("source_file", "pos", F.md5("value").alias("line_md5"))
+
+
 @query()
 def token_count(spark, d):
     return read(spark, d, "documents").select("doc_id", count_tokens(F.col("text"), "bpe_multi50k").alias("n_tokens"))
