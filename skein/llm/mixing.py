@@ -68,6 +68,39 @@ def with_targets(sources: DataFrame, p: Params) -> DataFrame:
     return rows.withColumn("target", F.when(over(per), p.most * F.col("words")).otherwise(per * F.col("m_weight"))).drop("m_weight")
 
 
+#: Numbers from which numpy draws no hypergeometric variates.
+LARGE = 1_000_000_000
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` draws without replacement are good; for any numbers, by inversion around the mode where they are
+    too large for numpy."""
+    if max(good, bad) < LARGE:
+        return int(rng.hypergeometric(good, bad, n))
+    all_ = good + bad
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(max((n + 1) * (good + 1) // (all_ + 2), low), high)
+    spread = int(40 * (n * (good / all_) * (bad / all_) * ((all_ - n) / max(1, all_ - 1))) ** 0.5) + 64
+    k = np.arange(max(low, mode - spread), min(high, mode + spread) + 1, dtype=np.float64)
+    # log of the ratio of neighbouring probabilities
+    steps = np.log(good - k[:-1]) + np.log(n - k[:-1]) - np.log(k[:-1] + 1) - np.log(bad - n + k[:-1] + 1)
+    weight = np.r_[0.0, np.cumsum(steps)]
+    sums = np.cumsum(np.exp(weight - weight.max()))
+    return int(k[min(int(np.searchsorted(sums, rng.random() * sums[-1], "right")), len(k) - 1)])
+
+
+def multivariate(rng: np.random.Generator, counts: np.ndarray, n: int) -> np.ndarray:
+    """A draw from the multivariate hypergeometric distribution, by its marginals."""
+    if counts.sum() < LARGE:
+        return rng.multivariate_hypergeometric(counts, n, method="marginals")
+    out, rest = np.zeros(len(counts), np.int64), int(counts.sum())
+    for i, c in enumerate(counts.tolist()):
+        rest -= c
+        out[i] = hypergeometric(rng, c, rest, n) if n else 0
+        n -= int(out[i])
+    return out
+
+
 def split_tree(quotas: np.ndarray, room: np.ndarray, seed: tuple[int, ...]) -> np.ndarray:
     """Quotas by source and room by shard, of equal sums -> quotas by (shard, source), whose rows and columns sum to
     them."""
@@ -78,7 +111,7 @@ def split_tree(quotas: np.ndarray, room: np.ndarray, seed: tuple[int, ...]) -> n
             out[low] = q
             return
         mid, rng = (low + high) // 2, np.random.default_rng((*seed, low, high))
-        left = rng.multivariate_hypergeometric(q, int(room[low:mid].sum()), method="marginals")
+        left = multivariate(rng, q, int(room[low:mid].sum()))
         node(left, low, mid)
         node(q - left, mid, high)
 

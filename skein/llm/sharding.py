@@ -126,7 +126,8 @@ class ShardStore:
             raise
 
     def append_each(self, rows: DataFrame, arrival: Column) -> list[dict]:
-        """The arrivals that a column numbers, written by one job; a version for each, in order, compacted in between."""
+        """The arrivals that a column numbers, written by one job; a version for each, in order, compacted in between. A lost
+        race leaves those that were committed, and takes the others' files away."""
         folder, out = f"{self.root}/data/{uuid.uuid4().hex}", []
         marked = rows.withColumn(ARRIVAL, arrival)
         marked.write.option("compression", self.p.compression).partitionBy(ARRIVAL).parquet(folder)
@@ -138,7 +139,12 @@ class ShardStore:
         order = lambda n: (len(n), n)  # noqa: E731  numbers in order
         for part in sorted(parts, key=order):
             before = self.manifest()
-            out.append(self.commit(before, [*before["runs"], self._run(part)], before["schema"] or schema))
+            try:
+                out.append(self.commit(before, [*before["runs"], self._run(part)], before["schema"] or schema))
+            except Conflict:
+                for n in sorted(parts, key=order)[len(out) :] if out else [folder]:
+                    self._delete(n)  # no version names it
+                raise
             self.compact()
         return out
 

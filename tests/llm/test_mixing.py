@@ -104,3 +104,27 @@ def test_edges(spark):
     assert all(r.source_size == 4 for r in out if r.source is None) and all(r.taken <= 2 * r["size"] for r in out)
     assert m.mix(df).count() == sum(len(r.shards) for r in out)
     assert m.assign(df.limit(0)).count() == m.mix(df.limit(0)).count() == 0
+
+
+def test_draws_beyond_numpys_limit():
+    rng = np.random.default_rng(1)
+    counts = np.array([3 * 10**9, 5, 0, 10**9, 77], np.int64)
+    n = int(counts.sum()) // 3
+    for _ in range(3):
+        got = m.multivariate(rng, counts, n)
+        assert got.sum() == n and (got >= 0).all() and (got <= counts).all()
+        assert abs(got[0] - counts[0] / 3) < 10 * (counts[0] / 3) ** 0.5
+    room = np.array([n, n, int(counts.sum()) - 2 * n])
+    out = m.split_tree(counts, room, (8,))
+    assert (out.sum(axis=0) == counts).all() and (out.sum(axis=1) == room).all()
+
+
+def test_inversion_agrees_with_numpy(monkeypatch):
+    rng, args = np.random.default_rng(2), (300, 500, 200)
+    want = rng.hypergeometric(*args, 20_000)
+    monkeypatch.setattr(m, "LARGE", 0)
+    got = np.array([m.hypergeometric(rng, *args) for _ in range(20_000)])
+    assert abs(got.mean() - want.mean()) < 0.15 and abs(got.std() - want.std()) < 0.12
+    for good, bad, n in ((0, 9, 4), (9, 0, 4), (5, 5, 10), (1, 1, 1), (3, 2, 0)):
+        k = m.hypergeometric(rng, good, bad, n)
+        assert max(0, n - bad) <= k <= min(good, n)

@@ -70,3 +70,23 @@ def test_readers_of_a_replaced_version_can_end(spark, tmp_path):
     with pytest.raises(s.Conflict):
         store.append(spark.range(3).toDF("id"))
     assert sorted((tmp_path / "data").iterdir()) == before
+
+
+def test_a_lost_race_in_a_row_of_arrivals(spark, tmp_path):
+    for won in (0, 2):
+        store = s.ShardStore(spark, str(tmp_path / str(won)), s.Params(fanout=9, small=1))
+        store.append(spark.range(5).toDF("id"))
+        commit, done = store.commit, []
+
+        def race(before, runs, schema):
+            if len(done) == won:
+                raise s.Conflict("lost")
+            done.append(commit(before, runs, schema))
+            return done[-1]
+
+        store.commit = race
+        with pytest.raises(s.Conflict):
+            store.append_each(spark.range(60).toDF("id"), (F.col("id") % 6).cast("int"))
+        named = {n for r in store.manifest()["runs"] for n, _ in r["shards"]}
+        left = {f.name for f in (tmp_path / str(won)).rglob("*.parquet")}
+        assert left == {n.rsplit("/", 1)[-1] for n in named} and store.read().count() == 5 + 10 * won
