@@ -24,17 +24,16 @@ def check(spark, docs, trusted, p=r.Params()):
     rows = r.judge(spark.createDataFrame(docs, "doc_id long, text string, h string, row int"), spark.createDataFrame([(i,) for i in trusted], "doc_id long"), p).collect()
     assert len(rows) == len(docs)
     raw, good = Counter(), Counter()
-    of = lambda t: [(k, w[:3] if k == 0 else w[-3:]) for w in W.findall(t or "") for k in (0, 1)]
+    of = lambda t: [w[k : k + p.n] for w in W.findall(t or "") for k in range(len(w))]
     for i, t, *_ in docs:
-        for g in of(t):
-            raw[g] += 1
-            good[g] += i in trusted and i is not None
-    n = {k: (sum(v for g, v in raw.items() if g[0] == k), sum(v for g, v in good.items() if g[0] == k)) for k in (0, 1)}
-    part = lambda c, all_: (c + p.smooth * all_ / p.buckets + 1e-9) / ((1 + p.smooth) * all_ + 1e-9 * p.buckets)
+        raw.update(of(t))
+        good.update(of(t) if i in trusted and i is not None else ())
+    all_raw, all_good = raw.total(), good.total()
+    part = lambda c, all_, own: (max(c - own, 0) + p.smooth) / (max(all_ - own, 0) + p.smooth * p.buckets)
     want = Counter()
     for i, t, *_ in docs:
-        gs = of(t)
-        ratio = sum(math.log(part(good[g], n[g[0]][1]) / part(raw[g], n[g[0]][0])) if n[g[0]][1] else 0 for g in gs) / len(gs) if gs else 0
+        gs, own = of(t), int(i in trusted and i is not None)
+        ratio = sum(math.log(part(good[g], all_good, own) / part(raw[g], all_raw, 1)) if all_good else 0 for g in gs) / len(gs) if gs else 0
         b = base(t)
         failed = b[0] < 10 or 100 * b[4] > 20 * b[0]
         want[(i, *b, failed, round(ratio, 6), not failed and ratio >= p.threshold)] += 1
@@ -68,3 +67,19 @@ def test_clean_held_out_documents_stay(spark):
     d = "/root/testdata/sf0.01"
     out = r.op4(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter("not base_failed and crc32(cast(doc_id as string)) % 4 = 2").toPandas()
     assert out[out["quality"] == 1]["kept"].mean() > 0.99 and out[out["quality"] == 0]["kept"].mean() < 0.1
+
+
+def test_the_inside_of_words_counts(spark):
+    """Words that keep their first and last characters around junk are told from those that don't."""
+    d = "/root/testdata/sf0.01"
+    docs, marks = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{d}/labels.parquet").filter("quality = 1 and crc32(cast(doc_id as string)) % 4 <> 2")
+    clean = docs.join(marks, "doc_id", "left_anti").orderBy("doc_id").filter("length(text) between 800 and 3000").first().text
+    junk = " ".join(w[:3] + "#@!zq#@!zq#@!zq" + w[-3:] for w in W.findall(clean))
+    more = spark.createDataFrame([(10**9, clean), (10**9 + 1, junk)], "doc_id long, text string")
+    got = {x.doc_id: x for x in r.judge(docs.unionByName(more), marks).filter(f"doc_id >= {10**9}").collect()}
+    assert got[10**9].kept and not got[10**9 + 1].kept and got[10**9 + 1].ratio < got[10**9].ratio - 1
+
+
+def test_very_long_words(spark):
+    docs = [(i, "ab" * 100_000 + " one two three four five six seven eight nine ten", "", 0) for i in range(3)]
+    check(spark, docs, {1})
