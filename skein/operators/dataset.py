@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.schemas import FINAL
+
 
 def project(rows: DataFrame) -> DataFrame:
-    return rows.select("instruction", "input", "output")
+    return rows.select(*FINAL)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.text import is_blank
-
-KEYS = ("instruction", "input", "output")
+from skein.schemas import FINAL as KEYS
 
 
 def _rules(lines: DataFrame) -> None:
+    """Sets an option of the session, which parsing reads when the query runs; it concerns variants alone."""
     lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # the last of equal keys wins
 
 

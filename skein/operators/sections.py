@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import printable, strip
+from skein.schemas import SECTION
 
 
 def fences(lines: Column) -> Column:
@@ -66,7 +67,6 @@ def header_sections(docs: DataFrame) -> DataFrame:
     return joined.select("source_file", "sec_pos", "h1", "h2", "h3", F.regexp_replace("content", r"^(?:  )?\n", "").alias("content"))
 
 
-SECTIONS = "source_file string, sec_pos long, h1 string, h2 string, h3 string, content string"
 _HEADER = re.compile(r"(#{1,3})(?: |$)").match
 
 
@@ -113,4 +113,4 @@ def section_rows(docs: DataFrame) -> DataFrame:
                 columns = zip(*rows) if rows else [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["source_file", "sec_pos", "h1", "h2", "h3", "content"])
 
-    return docs.select("source_file", "md").mapInArrow(run, SECTIONS)
+    return docs.select("source_file", "md").mapInArrow(run, SECTION)

@@ -14,7 +14,7 @@ from skein.functions.text import merged_name, stem
 from skein.functions.tokens import count_tokens
 from skein.operators import dataset, pack, parse, prompt, records, sections, split
 from skein.operators.incremental import skip_existing
-from skein.schemas import Config
+from skein.schemas import RECORD, Config
 from skein.sources import files, named, sinks
 
 log = logging.getLogger(__name__)
@@ -41,7 +41,7 @@ def chunk_lines(docs: DataFrame, found: DataFrame, c: Config = Config()) -> Data
     order = Window.partitionBy("source_file").orderBy("sec_pos", "chunk_pos")
     judged = judged.select("source_file", "sec_pos", "chunk_pos", "verdict", F.when(saved, F.col("input")).alias("input"))
     rows = judged.withColumns({"id": F.sum(saved.cast("long")).over(order), "at": F.row_number().over(order), "instruction": F.lit(c.instruction), "output": F.lit("")})
-    rows = rows.select(name, "verdict", F.when(saved, sinks.json_line("id", "instruction", "input", "output")).alias("value"), "at")
+    rows = rows.select(name, "verdict", F.when(saved, sinks.json_line(*RECORD)).alias("value"), "at")
     none = F.lit(None).cast("string")
     rows = rows.unionByName(found.select(name, none.alias("verdict"), none.alias("value"), F.lit(0).alias("at")))
     if "error" in docs.columns:
@@ -92,7 +92,7 @@ def merge_folder(spark: SparkSession, folder: str, out: str | None = None, c: Co
     out = out or f"{folder.rstrip('/')}/merged_output"
     none = F.lit(None).cast("string")
     rows = merge_records(files.jsonl_lines(spark, folder, dotfiles=True), c, separator_tokens)
-    rows = rows.select(F.col("merged_file").alias("name"), none.alias("verdict"), sinks.json_line("id", "instruction", "input", "output").alias("value"), F.col("id").alias("at"))
+    rows = rows.select(F.col("merged_file").alias("name"), none.alias("verdict"), sinks.json_line(*RECORD).alias("value"), F.col("id").alias("at"))
     every = files.listed(spark, folder, "*.jsonl").select(merged_name(F.col("source_file")).alias("name"), none.alias("verdict"), none.alias("value"), F.lit(0).cast("long").alias("at"))
     log.info("%s: packing to %d tokens into %s", folder, c.max_tokens, out)
     named.write(rows.unionByName(every), out, "at")

@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 DOCUMENT = "source_file string, md string"
 SECTION = "source_file string, sec_pos long, h1 string, h2 string, h3 string, content string"
-CHUNK = "source_file string, sec_pos long, chunk_pos long, h1 string, h2 string, h3 string, content string"
-RECORD = "id long, instruction string, input string, output string"
-FINAL = "instruction string, input string, output string"
+#: Keys of a training record's line, in order, and of the final set's.
+RECORD = ("id", "instruction", "input", "output")
+FINAL = ("instruction", "input", "output")
 
 # Texts and limits that results depend on.
 INSTRUCTION = (

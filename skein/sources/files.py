@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions.lineage import keep
+from skein.schemas import DOCUMENT, FINAL
 
 #: Splits whose offsets are broadcast (some 100 MB).
 SPLITS = 1_000_000
@@ -77,14 +78,14 @@ def jsonl_lines(spark: SparkSession, folder: str, dotfiles: bool = False) -> Dat
 def final_records(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
     """A written dataset, by its declared columns, as strings or, ``typed``, as variants; a malformed line fails the query."""
     kind = "variant" if typed else "string"
-    return spark.read.schema(f"instruction {kind}, input {kind}, output {kind}").option("mode", "FAILFAST").json(path)
+    return spark.read.schema(", ".join(f"{k} {kind}" for k in FINAL)).option("mode", "FAILFAST").json(path)
 
 
 def markdown_files(spark: SparkSession, folder: str) -> DataFrame:
     """source_file and md, one row a ``*.md`` file; none for no folder."""
     refuse_hidden(spark, folder, ".md")
     if not names(spark, folder, ".md"):
-        return spark.createDataFrame([], "source_file string, md string")
+        return spark.createDataFrame([], DOCUMENT)
     rows = spark.read.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
     return rows.select(file_name(), F.col("value").alias("md"))
 
