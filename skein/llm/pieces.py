@@ -304,25 +304,39 @@ def slabs(texts: Iterator[str], pieces: bool) -> Iterator[list[tuple[int, str]]]
     yield held
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with ``ids``, the ids of each whole text by the model of ``path``; a column of that name is replaced.
+#: Rows whose ids and texts are returned together.
+ROWS = 512
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``ids``, the ids of each whole text by the model of ``path``, and if asked with ``decoded``, the text
+    that these ids decode to; columns of these names are replaced.
 
     No begin or end ids, no sampling. A null or empty text has no ids. All other columns pass, whatever their names and
     rows however often they come; an empty table gives no rows."""
-    out = T.StructType([*(f for f in docs.schema.fields if f.name.lower() != ids.lower()), T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    named = {ids.lower(), *([decoded.lower()] if decoded else [])}
+    more = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), *([T.StructField(decoded, T.StringType(), False)] if decoded else [])]
+    out = T.StructType([*(f for f in docs.schema.fields if f.name.lower() not in named), *more])
+
+    def one(b: pa.RecordBatch, m: Model) -> pa.RecordBatch:
+        found: list[list[bytes]] = [[] for _ in range(b.num_rows)]
+        for slab in slabs((t.as_py() or "" for t in b.column(text)), m.prefix):
+            for (i, _), own in zip(slab, m.encode([s for _, s in slab])):
+                found[i].append(own)
+        found = [b"".join(f) for f in found]
+        ends = np.cumsum([0, *(len(f) // 4 for f in found)]).astype(np.int32)
+        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
+        kept = [k for k, f in enumerate(b.schema) if f.name.lower() not in named]
+        columns = [*(b.column(k) for k in kept), pa.ListArray.from_arrays(pa.array(ends), values)]
+        if decoded:
+            columns.append(pa.array([m.decode(np.frombuffer(f, "<i4")) for f in found], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names=[*(b.schema.field(k).name for k in kept), ids, *([decoded] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         try:
             for b in batches:
-                found: list[list[bytes]] = [[] for _ in range(b.num_rows)]
-                for slab in slabs((t.as_py() or "" for t in b.column(text)), m.prefix):
-                    for (i, _), own in zip(slab, m.encode([s for _, s in slab])):
-                        found[i].append(own)
-                ends = np.cumsum([0, *(sum(map(len, f)) // 4 for f in found)]).astype(np.int32)
-                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(x for f in found for x in f))])
-                kept = [k for k, f in enumerate(b.schema) if f.name.lower() != ids.lower()]
-                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.ListArray.from_arrays(pa.array(ends), values)], names=[*(b.schema.field(k).name for k in kept), ids])
+                yield from (one(b.slice(at, ROWS), m) for at in range(0, b.num_rows, ROWS))
         finally:
             m.known.clear()  # a worker lives on through other jobs
 
@@ -355,5 +369,4 @@ def piece_bpe() -> str:
 def op13(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document's whole text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, piece_bpe()).drop("text"), piece_bpe())
-    return digests(both).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return digests(encode(docs, piece_bpe(), decoded="decoded")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

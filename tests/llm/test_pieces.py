@@ -98,7 +98,9 @@ def test_tables(spark, library):
         assert list(r.ids) == want and r.decoded == library.decode(want) and r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
-    assert encode(docs.limit(0), piece_bpe()).count() == 0
+    both = encode(docs, piece_bpe(), decoded="N_tokens")
+    assert both.columns == ["doc_id", "text", "ids", "N_tokens"] and sorted((r.ids, r.N_tokens) for r in both.collect()) == sorted((r.ids, r.decoded) for r in out)
+    assert encode(docs.limit(0), piece_bpe(), decoded="d").count() == 0
     again = decode(spark.createDataFrame([(None,), ([],), ([1, 2],)], "ids array<int>"), piece_bpe()).collect()
     assert [r.decoded for r in again] == [None, "", ""]
 
