@@ -66,97 +66,106 @@ class Planes:
 class Intervals:
     """Intervals of the scores of anchors (rows) and vectors (columns), tightened a plane at a time.
 
-    Pairs are all of a matrix first; once few are alive, a list of them. Sums of whole numbers below 2^53 are exact in
-    double precision."""
+    Pairs are all of a matrix first; once few are alive, a list of them, by rows. Sums of whole numbers below 2^53 are
+    exact in double precision."""
 
     def __init__(self, anchors: np.ndarray, planes: Planes, alive: np.ndarray, dense: float):
         self.a, self.planes, self.dense = anchors.astype(np.float64), planes, dense
         self.up, self.down = np.maximum(anchors, 0).sum(axis=1), np.minimum(anchors, 0).sum(axis=1)
         self.alive, self.pairs = alive, None
         self.sum = np.repeat((planes.offset * anchors.sum(axis=1))[:, None], alive.shape[1], axis=1)
+        self.settle()
 
-    def add(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Take plane ``k``: rows and columns of the pairs alive, and the ends of their intervals."""
-        bits = self.planes.of[k]
-        if self.pairs is None and self.alive.sum() < self.dense * self.alive.size:
+    def settle(self) -> None:
+        """From the matrix to a list, if few pairs are alive."""
+        if self.pairs is None and np.count_nonzero(self.alive) <= self.dense * self.alive.size:
             self.pairs = np.nonzero(self.alive)
             self.sum = self.sum[self.pairs]
+
+    def add(self, k: int) -> None:
+        bits = self.planes.of[k]
         if self.pairs is None:
             self.sum += (self.a @ bits.T).astype(np.int64) << k
-            r, c = np.nonzero(self.alive)
-            s = self.sum[r, c]
-        else:
-            r, c = self.pairs
-            for at in range(0, len(r), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                self.sum[part] += np.einsum("ij,ij->i", self.a[r[part]], bits[c[part]]).astype(np.int64) << k
-            s = self.sum
+            return
+        r, c = self.pairs
+        for at in range(0, len(r), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            self.sum[part] += np.einsum("ij,ij->i", self.a[r[part]], bits[c[part]]).astype(np.int64) << k
+
+    def ends(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper ends of the intervals once plane ``k`` is taken, as a matrix or by pair."""
+        at = (slice(None), None) if self.pairs is None else self.pairs[0]
         rest = (1 << k) - 1
-        return r, c, s + rest * self.down[r], s + rest * self.up[r]
+        return self.sum + rest * self.down[at], self.sum + rest * self.up[at]
 
-    def keep(self, r: np.ndarray, c: np.ndarray, stay: np.ndarray) -> None:
+    def keep(self, stay: np.ndarray) -> None:
         if self.pairs is None:
-            self.alive[r[~stay], c[~stay]] = False
+            self.alive &= stay
+            self.settle()
         else:
+            r, c = self.pairs
             self.pairs, self.sum = (r[stay], c[stay]), self.sum[stay]
 
+    def listed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, columns and sums of the pairs alive."""
+        if self.pairs is not None:
+            return *self.pairs, self.sum
+        r, c = np.nonzero(self.alive)
+        return r, c, self.sum[r, c]
+
 
-def nth_largest(groups: np.ndarray, values: np.ndarray, weights: np.ndarray, n: int, size: int) -> np.ndarray:
-    """For each group the largest value that ``n`` entries reach, an entry counting ``weights`` times; the least possible
-    where there are fewer."""
-    out = np.full(size, np.iinfo(np.int64).min)
-    order = np.lexsort((-values, groups))
-    g, w = groups[order], np.cumsum(weights[order])
-    first = np.r_[True, g[1:] != g[:-1]] if len(g) else np.zeros(0, bool)
-    before = (w - weights[order])[first]
-    reached = w - np.repeat(before, np.diff(np.r_[np.flatnonzero(first), len(g)])) >= n
-    hit = np.flatnonzero(reached)
-    if len(hit):
-        hit = hit[np.r_[True, g[hit][1:] != g[hit][:-1]]]
-        out[g[hit]] = values[order][hit]
+def nth_largest(rows: np.ndarray, values: np.ndarray, n: int, size: int) -> np.ndarray:
+    """For each of ``size`` rows (ascending) its ``n``-th largest value; the least possible where there are fewer."""
+    out, cuts = np.full(size, np.iinfo(np.int64).min), np.searchsorted(rows, np.arange(size + 1))
+    for i in np.flatnonzero(np.diff(cuts) >= n):
+        v = values[cuts[i] : cuts[i + 1]]
+        out[i] = np.partition(v, len(v) - n)[len(v) - n]
     return out
 
 
-def best(anchors: np.ndarray, planes: Planes, alive: np.ndarray, copies: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best(anchors: np.ndarray, planes: Planes, alive: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the pairs alive, those that can be among the first ``n`` of their anchor in the block, ties included: rows,
-    columns, scores. ``copies`` (of the alive matrix's shape) counts the rows that a column stands for."""
-    x = Intervals(anchors, planes, alive, p.dense)
-    r, c = np.nonzero(alive)
-    low = x.sum[r, c]
+    columns, scores. A column that stands for several rows counts once here, which keeps too many and none too few."""
+    x = Intervals(anchors, planes, alive, max(p.dense, 0.5))  # n of each row, whatever the matrix: a list is soon better
     for k in planes.bits:
-        r, c, low, high = x.add(k)
-        stay = high >= nth_largest(r, low, copies[r, c], n, len(anchors))[r]
-        x.keep(r, c, stay)
-        r, c, low = r[stay], c[stay], low[stay]
-    return r, c, low
+        x.add(k)
+        if x.pairs is None:
+            x.pairs = np.nonzero(x.alive)
+            x.sum = x.sum[x.pairs]
+        low, high = x.ends(k)
+        r = x.pairs[0]
+        x.keep(high >= nth_largest(r, low, n, len(anchors))[r])
+    return x.listed()
 
 
-def within(anchors: np.ndarray, windows: np.ndarray, owner: np.ndarray, planes: Planes, alive: np.ndarray, copies: np.ndarray, n: int, p: Params) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def within(anchors: np.ndarray, windows: np.ndarray, owner: np.ndarray, planes: Planes, alive: np.ndarray, n: int, p: Params) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The same for windows of scores, each (from, to) of one anchor, ``owner``: for each window's pairs the window, the
-    column and the score."""
+    column and the score. While pairs are a matrix, they are tested against all windows of the anchor as one."""
     x = Intervals(anchors, planes, alive, p.dense)
-    slots = [np.flatnonzero(owner == i) for i in range(len(anchors))]
+    slots = [np.flatnonzero((owner == i) & (windows[:, 0] <= windows[:, 1])) for i in range(len(anchors))]
     depth = max(map(len, slots), default=0)
-    lo, hi = np.full((depth, len(anchors)), 1), np.full((depth, len(anchors)), 0)  # empty unless set
+    lo, hi = np.full((depth, len(anchors)), np.iinfo(np.int64).max), np.full((depth, len(anchors)), np.iinfo(np.int64).min)  # empty
     name = np.zeros((depth, len(anchors)), np.int64)
     for i, of in enumerate(slots):
         lo[: len(of), i], hi[: len(of), i], name[: len(of), i] = windows[of, 0], windows[of, 1], of
-    r, c = np.nonzero(alive)
-    ends = r, c, x.sum[r, c], x.sum[r, c]
-    for k in [*planes.bits]:
-        r, c, low, high = ends = x.add(k)
-        stay = np.zeros(len(r), bool)
+    least, most = (lo.min(axis=0), hi.max(axis=0)) if depth else (np.full(len(anchors), 1), np.full(len(anchors), 0))
+    for k in planes.bits:
+        x.add(k)
+        low, high = x.ends(k)
+        if x.pairs is None:
+            x.keep((high >= least[:, None]) & (low <= most[:, None]))
+            continue
+        r, stay = x.pairs[0], np.zeros(len(low), bool)
         for j in range(depth):
-            can = (high >= lo[j][r]) & (low <= hi[j][r]) & (lo[j][r] <= hi[j][r])
-            sure = can & (low >= lo[j][r]) & (high <= hi[j][r])
-            stay |= can & (high >= nth_largest(r[sure], low[sure], copies[r[sure], c[sure]], n, len(anchors))[r])
-        x.keep(r, c, stay)
-        ends = r[stay], c[stay], low[stay]
-    r, c, s = ends[:3]
+            can = (high >= lo[j][r]) & (low <= hi[j][r])
+            sure = (low >= lo[j][r]) & (high <= hi[j][r])
+            stay |= can & (high >= nth_largest(r[sure], low[sure], n, len(anchors))[r])
+        x.keep(stay)
+    r, c, s = x.listed()
     out = []
     for j in range(depth):
         can = np.flatnonzero((s >= lo[j][r]) & (s <= hi[j][r]))
-        can = can[s[can] >= nth_largest(r[can], s[can], copies[r[can], c[can]], n, len(anchors))[r[can]]]
+        can = can[s[can] >= nth_largest(r[can], s[can], n, len(anchors))[r[can]]]
         out.append((name[j][r[can]], c[can], s[can]))
     return out
 
@@ -185,7 +194,7 @@ def positives(key: tuple, anchors: pd.DataFrame, rows: pd.DataFrame, p: Params)
     same = anchors["label"].to_numpy()[:, None] == rows["label"].to_numpy()[None, :]
     # an anchor's own row is no other one, but its copies are
     copies = rows["copies"].to_numpy()[None, :] - (anchors["a"].to_numpy()[:, None] == rows["a"].to_numpy()[None, :])
-    r, c, s = best(vectors(anchors), Planes(vectors(rows)), same & (copies > 0), copies, p.positives, p)
+    r, c, s = best(vectors(anchors), Planes(vectors(rows)), same & (copies > 0), p.positives, p)
     n, ids = copies[r, c], rows["vec_id"].to_numpy()[c]
     at = first(r, s, ids, n, p.positives)
     return pd.DataFrame({"a": anchors["a"].to_numpy()[r[at]], "vec_id": ids[at], "score": s[at], "n": np.minimum(n[at], p.positives)})
@@ -195,7 +204,6 @@ def negatives(key: tuple, anchors: pd.DataFrame, rows: pd.DataFrame, p: Params)
     if not len(anchors) or not len(rows):
         return pd.DataFrame({"a": [], "slot": [], "vec_id": [], "score": [], "n": []})
     other = anchors["label"].to_numpy()[:, None] != rows["label"].to_numpy()[None, :]
-    copies = np.broadcast_to(rows["copies"].to_numpy()[None, :], other.shape)
     scores = anchors["scores"].tolist()
     owner = np.repeat(np.arange(len(anchors)), [len(s) for s in scores])
     slot = np.concatenate([np.arange(len(s)) for s in scores])
@@ -204,7 +212,7 @@ def negatives(key: tuple, anchors: pd.DataFrame, rows: pd.DataFrame, p: Params)
     windows = np.stack([-(-p.low * s // p.whole), p.high * s // p.whole], axis=1)
     out = []
     ids = rows["vec_id"].to_numpy()
-    for w, c, x in within(vectors(anchors), windows, owner, Planes(vectors(rows)), other, copies, p.negatives, p):
+    for w, c, x in within(vectors(anchors), windows, owner, Planes(vectors(rows)), other, p.negatives, p):
         n = rows["copies"].to_numpy()[c]
         at = first(w, x, ids[c], n, p.negatives)
         out.append(pd.DataFrame({"a": anchors["a"].to_numpy()[owner[w[at]]], "slot": slot[w[at]], "vec_id": ids[c[at]], "score": x[at], "n": np.minimum(n[at], p.negatives)}))

@@ -76,21 +76,26 @@ def test_intervals_hold_the_scores_and_halve():
     planes, want, wide = Planes(v), a @ v.T, None
     x = Intervals(a, planes, np.ones((4, 30), bool), 0.0)
     for k in planes.bits:
-        i, j, low, high = x.add(k)
-        assert (low <= want[i, j]).all() and (want[i, j] <= high).all()
+        x.add(k)
+        low, high = x.ends(k)
+        assert (low <= want).all() and (want <= high).all()
         assert wide is None or (2 * (high - low) <= wide).all()
         wide = high - low
-    assert (low == want[i, j]).all()
+    assert (low == want).all()
 
 
 def test_candidates_are_dropped_before_the_last_plane(monkeypatch):
     v = np.random.default_rng(7).integers(-60, 60, (2000, 16))
-    left = []
-    add = Intervals.add
-    monkeypatch.setattr(Intervals, "add", lambda self, k: left.append(add(self, k)) or left[-1])
-    hn.best(v[:3], Planes(v), np.ones((3, 2000), bool), np.ones((3, 2000), int), 5, Params())
-    sizes = [len(x[0]) for x in left]
-    assert sizes[0] == 6000 and sizes[-1] < 600 and sizes == sorted(sizes, reverse=True)
+    sizes = []
+    keep = Intervals.keep
+    monkeypatch.setattr(Intervals, "keep", lambda self, stay: (keep(self, stay), sizes.append(len(self.listed()[0]))))
+    hn.best(v[:3], Planes(v), np.ones((3, 2000), bool), 5, Params())
+    assert sizes[-2] < 600 and sizes == sorted(sizes, reverse=True)
+    sizes.clear()
+    got = hn.within(v[:3], np.array([[5000, 9000], [-100, 100], [2, 1]]), np.array([0, 1, 2]), Planes(v), np.ones((3, 2000), bool), 3, Params())
+    assert sizes[-2] < 3000 and sizes == sorted(sizes, reverse=True)
+    want = v[:3] @ v.T
+    assert {(w, c, x) for g in got for w, c, x in zip(*g) if w == 0} <= {(0, c, want[0, c]) for c in np.flatnonzero((want[0] >= 5000) & (want[0] <= 9000))}
 
 
 def test_query(spark, sf_dir, duck):
