@@ -4,7 +4,8 @@ Each task counts the terms of its documents in byte tries, one a language, whose
 occurrences, and documents. Counters lie in flat arrays by leaf and source, added up some hundred thousand terms at a
 time. Tries that have grown to a bound are sent off and new ones begun. What is sent are subtries, cut at prefixes of a
 few bytes; ranges of prefixes are dealt to tasks, which merge the subtries of a prefix into one trie and walk it in
-UTF-8 order. The walk drops the terms that too few documents of the language hold and numbers the others in chunks.
+UTF-8 order. The walk drops the terms that too few documents of the language hold and numbers the others; the numbers
+of a task go on from those of the ranges before it, and even chunks are cut of a language's numbers, whatever the tasks.
 
 Totals of each group come from the kept counts. A second walk goes through each chunk in the same order with the totals of
 its language: it adds up the differences of each pair of sources, and streams the candidates of each group, whose ties
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, table
+from skein.llm.common import BROADCAST_IDS, cut, table
 
 #: Bytes of terms lower-cased, all others to spaces: a term is a run of ASCII letters and characters from U+0080 on.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -158,7 +159,7 @@ class Counts:
 
 #: A subtrie as sent: the rests of its terms, how many counters each has, and the counters one after the other.
 SENT = "prefix binary, lang_id long, terms array<binary>, sizes array<int>, source_ids array<long>, times array<long>, docs array<long>"
-KEPT = "lang_id long, part long, chunk int, nth int, term string, source_id long, n long, whole long"
+KEPT = "lang_id long, part long, nth long, term string, source_id long, n long, whole long"
 
 
 def count(docs: DataFrame, p: Params) -> DataFrame:
@@ -198,8 +199,8 @@ def terms(text: str, slab: int) -> tuple[list[bytes], list[int] | None]:
 
 
 def merge(sent: DataFrame, p: Params) -> DataFrame:
-    """The subtries of each prefix merged; a row for each kept term of a language and source that has it. ``part`` and
-    ``chunk`` name the block of a term, ``nth`` its place there in UTF-8 order."""
+    """The subtries of each prefix merged; a row for each kept term of a language and source that has it. ``part`` is the
+    task of a term, ascending by prefix, ``nth`` the term's place there among its language's, in UTF-8 order."""
 
     def walked(rows: list[tuple], part: int, place: Counter) -> Iterator[pa.RecordBatch]:
         """The rows of some neighbouring prefixes, all that there are of each."""
@@ -220,8 +221,8 @@ def merge(sent: DataFrame, p: Params) -> DataFrame:
             leaf, source, times = leaf[stay], source[stay], times[stay]
             names = pa.array([t.decode("utf-8", "surrogatepass") if k else None for (t, _), k in zip(walk, keep.tolist())], pa.string())
             n = len(leaf)
-            columns = [np.full(n, lang), np.full(n, part), (nth // p.chunk)[leaf].astype(np.int32), (nth % p.chunk)[leaf].astype(np.int32), names.take(pa.array(leaf)), source, times, whole[leaf]]
-            batch = pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["lang_id", "part", "chunk", "nth", "term", "source_id", "n", "whole"])
+            columns = [np.full(n, lang), np.full(n, part), nth[leaf], names.take(pa.array(leaf)), source, times, whole[leaf]]
+            batch = pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["lang_id", "part", "nth", "term", "source_id", "n", "whole"])
             yield from (batch.slice(at, 20_000) for at in range(0, n, 20_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +243,23 @@ def merge(sent: DataFrame, p: Params) -> DataFrame:
     return cut(sent).repartitionByRange("prefix").sortWithinPartitions("prefix").mapInArrow(run, KEPT)
 
 
+def spans(kept: DataFrame, p: Params) -> DataFrame:
+    """lang_id, part, start (kept terms of the language in the parts before), v (those of the language), and width: the
+    terms of each of its chunks, as even as can be and ``chunk`` at most."""
+    per = Window.partitionBy("lang_id")
+    own = kept.groupBy("lang_id", "part").agg((F.max("nth") + 1).alias("own"))
+    own = own.select("lang_id", "part", (F.sum("own").over(per.orderBy("part")) - F.col("own")).alias("start"), F.sum("own").over(per).alias("v"))
+    chunks = f"((v + {p.chunk} - 1) div {p.chunk})"
+    return own.withColumn("width", F.expr(f"(v + {chunks} - 1) div {chunks}"))
+
+
+def numbered(kept: DataFrame, spans: DataFrame) -> DataFrame:
+    """``kept`` with ``nth`` counted through the language, and ``chunk`` in place of ``part``."""
+    few = spans.select("lang_id", "part", "start", "width")
+    out = kept.join(F.broadcast(few) if few.count() <= BROADCAST_IDS else few, ["lang_id", "part"]).withColumn("nth", F.col("start") + F.col("nth"))
+    return out.select("lang_id", F.expr("nth div width").alias("chunk"), "nth", "term", "source_id", "n", "whole")
+
+
 def share(n: np.ndarray, total: np.ndarray, p: Params) -> np.ndarray:
     """1 + floor(unit * n / total), by long division in steps of 1000, so that no product leaves 64 bits below totals of
     9e15."""
@@ -262,18 +280,18 @@ def block(rows: pd.DataFrame, totals: pd.DataFrame, p: Params) -> tuple[pd.DataF
 
 
 def differences(key: tuple, rows: pd.DataFrame, totals: pd.DataFrame, p: Params) -> pd.DataFrame:
-    """Sums of |p - q| over a chunk's terms, for each source of the block ``key[3]`` and each of the block ``key[4]``."""
+    """Sums of |p - q| over a chunk's terms, for each source of the block ``key[2]`` and each of the block ``key[3]``."""
     order, _, q = block(rows, totals, p)
     none = share(np.full((1, len(totals)), p.prior), totals["total"].to_numpy(np.int64)[None, :], p)[0]
     absent = int(totals["terms"].iloc[0]) - len(order)  # terms of the chunk that none of these sources has
-    one, two = (np.flatnonzero(totals["block"].to_numpy() == key[k]) for k in (3, 4))
+    one, two = (np.flatnonzero(totals["block"].to_numpy() == key[k]) for k in (2, 3))
     out = np.zeros((len(one), len(two)), np.int64)
     for k, i in enumerate(one):
         out[k] = np.abs(q[:, two] - q[:, i, None]).sum(axis=0) + absent * np.abs(none[two] - none[i])
     a, b = np.repeat(one, len(two)), np.tile(two, len(one))
     names = totals["source"].to_numpy()
     out = pd.DataFrame({"lang": key[0], "source": names[a], "item": names[b], "value": out.ravel()})[a != b]
-    return out if key[3] == key[4] else pd.concat([out, out.rename(columns={"source": "item", "item": "source"})])
+    return out if key[2] == key[3] else pd.concat([out, out.rename(columns={"source": "item", "item": "source"})])
 
 
 def candidates(key: tuple, rows: pd.DataFrame, totals: pd.DataFrame, p: Params) -> pd.DataFrame:
@@ -301,10 +319,10 @@ def audit(docs: DataFrame, p: Params = Params()) -> DataFrame:
     kept = cut(merge(count(docs.withColumns(ids).select(*ids, "text"), p), p))
     # totals by group: kept occurrences, kept terms of the language, and its own total
     own = kept.groupBy("lang_id", "source_id").agg(F.sum("n").alias("n"))
-    # a language's terms of a block are numbered from 0
-    terms_ = kept.groupBy("lang_id", "part", "chunk").agg((F.max("nth") + 1).alias("v")).groupBy("lang_id").agg(F.sum("v").alias("v"))
+    parts = cut(spans(kept, p))
+    langs_ = parts.select("lang_id", "v", "width").distinct()
     groups = docs.select("lang", "source").distinct().withColumns(ids)
-    groups = groups.join(own, ["lang_id", "source_id"], "left").join(terms_, "lang_id", "left")
+    groups = groups.join(own, ["lang_id", "source_id"], "left").join(langs_.select("lang_id", "v"), "lang_id", "left")
     per = Window.partitionBy("lang").orderBy("source")
     smooth = p.prior * F.coalesce("v", F.lit(0))
     groups = groups.select("lang", "source", *ids, (F.coalesce("n", F.lit(0)) + smooth).alias("total"), (F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("lang")) + smooth).alias("lang_total"), F.floor((F.row_number().over(per) - 1) / p.sources).cast("int").alias("block"))
@@ -313,15 +331,15 @@ def audit(docs: DataFrame, p: Params = Params()) -> DataFrame:
     if (n_lang, n_source) != (langs, sources):
         raise ArithmeticError("two names have one 64-bit hash")
     named = groups.select("lang", "source", *ids, "block")
-    rows = kept.join(named, ["lang_id", "source_id"]).select("lang", "part", "chunk", "nth", "term", "source", "n", "whole", "block")
-    kept = kept.join(groups.select("lang", "lang_id").distinct(), "lang_id")
-    chunks = cut(kept.groupBy("lang", "part", "chunk").agg((F.max("nth") + 1).alias("terms")))
+    rows = numbered(kept, parts).join(named, ["lang_id", "source_id"]).select("lang", "chunk", "nth", "term", "source", "n", "whole", "block")
+    chunks = langs_.select("lang_id", "v", "width", F.explode(F.expr("sequence(0, (v - 1) div width)")).alias("chunk"))
+    chunks = chunks.select("lang_id", "chunk", F.least("width", F.expr("v - chunk * width")).alias("terms"))
     blocks = groups.select("lang", "block").distinct()
     pairs = blocks.withColumnRenamed("block", "i").join(blocks.withColumnRenamed("block", "j"), "lang").filter("i <= j")
 
     out = "lang string, source string, item string, value long"
-    key = ["lang", "part", "chunk"]
-    dealt = groups.join(chunks, "lang")
+    key = ["lang", "chunk"]
+    dealt = groups.join(chunks, "lang_id")
     renamed = lambda t: t.select(*(F.col(c).alias(c) for c in t.columns))  # noqa: E731  columns of its own beside those of rows
     # every chunk with every pair of blocks of sources; a row has its own block only
     tiles = lambda t: renamed(t.join(pairs, "lang").filter("block in (i, j)")).groupBy(*key, "i", "j")

@@ -93,6 +93,34 @@ def test_subtries_hold_the_counts():
     ]
 
 
+def test_chunks_are_even_whatever_the_tasks(spark):
+    p = Params(chunk=16)
+    # language 1: 3 terms of two sources in each of 40 parts; language 2: 33 terms in one part
+    rows = [(1, part, nth, f"{part:02}{nth}", s, 1, 2) for part in range(2, 42) for nth in range(3) for s in (5, 6)]
+    rows += [(2, 7, nth, f"{nth:02}", 5, 1, 1) for nth in range(33)]
+    kept = spark.createDataFrame(rows, dv.KEPT)
+    out = dv.numbered(kept, dv.spans(kept, p)).collect()
+    for lang, sizes in ((1, [15] * 8), (2, [11] * 3)):
+        own = {(r.nth, r.term): r.chunk for r in out if r.lang_id == lang}
+        assert [n for n, _ in sorted(own)] == list(range(len(own)))
+        assert [t for _, t in sorted(own)] == sorted(t for _, t in own)
+        assert [list(own.values()).count(k) for k in range(max(own.values()) + 1)] == sizes
+    assert len(out) == len(rows)
+
+
+def test_many_tasks(spark):
+    p = Params(min_docs=3, chunk=16, sources=4, prefix=2, top=5)
+    rows = some(2, 400)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(old, ("40", "false")):
+            spark.conf.set(k, v)
+        assert audited(spark, rows, p) == brute(rows, p) != []
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_shares_are_exact():
     import numpy as np
 
