@@ -72,6 +72,27 @@ def test_counts(spark):
         assert got[1] is None and got[3] == 0 and got[2] > 1
 
 
+def test_counts_hold_few_texts_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from skein.functions.tokens import counts, encoding, slabs
+
+    texts = pa.array([None, "", *["some words of a text " * 50 + str(i) for i in range(20_000)], "long " * 300_000, None, "é日"])
+    runs = list(slabs(texts))
+    assert pa.concat_arrays(runs) == texts and all(len(r) == 1 or sum(len(t.encode()) for t in r.to_pylist() if t) <= 1 << 20 for r in runs)
+    assert len(runs) < 40 and list(slabs(texts[:0])) == []
+    encode = encoding("bpe50k").encode_ordinary
+    some = pa.concat_arrays([texts[:40], texts[-4:]])
+    assert counts(some, "bpe50k").to_pylist() == [None if t is None else len(encode(t)) for t in some.to_pylist()]
+    tracemalloc.start()
+    got = counts(texts[:-3], "words")
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 20_002 and most < 6_000_000 < texts.nbytes / 3
+
+
 def plain_split(text, size, overlap, count, separators=("\n\n", "\n", " ", "")):
     """Chunks by the rules, written down once more: recursive cuts, then windows over running lists."""
     sep, rest = next((s, separators[i + 1 :]) for i, s in enumerate(separators) if s == "" or s in text)
