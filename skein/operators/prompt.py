@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.tokens import encoding
+from skein.functions.tokens import encoding, slabs
 from skein.schemas import INPUT_MARK, INSTRUCTION_MARK, OUTPUT_MARK
 
 
@@ -66,18 +66,19 @@ def token_labels(rows: DataFrame, counter: str = "bpe_multi50k", cap: int = 8192
     Tokens are those of the whole text in one encoding, as a trainer makes them; labels follow from the place of each
     token in the text. A null text is an empty one."""
 
-    @F.pandas_udf("struct<tokens:array<int>,labels:array<int>,n_tokens:bigint>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<tokens:array<int>,labels:array<int>,n_tokens:bigint>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.struct({"tokens": pa.list_(pa.int32()), "labels": pa.list_(pa.int32()), "n_tokens": pa.int64()})
         own = encoding(counter)
         size = np.zeros(own.n_vocab, np.int64)
         for t in own.token_byte_values():
             size[own.encode_single_token(t)] = len(t)
-        for texts in batches:
+        for texts in (part for b in batches for part in slabs(b)):
             out = []
-            for text in texts:
+            for text in texts.to_pylist():
                 tokens = np.array(own.encode_ordinary(text or ""), np.int32)
                 out.append((tokens[:cap], labels_of(text or "", tokens, size[tokens])[:cap], len(tokens)))
-            yield pd.DataFrame(out, columns=["tokens", "labels", "n_tokens"])
+            yield pa.StructArray.from_arrays([pa.array(list(v), f.type) for v, f in zip(zip(*out), kind)], fields=list(kind))
 
     return rows.withColumn("_t", run("text")).select("*", "_t.*").drop("_t")
 

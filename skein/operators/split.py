@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from skein.functions.tokens import measure
+from skein.functions.tokens import measure, slabs
 
 Measure = Callable[[list[str]], list[int]]
 SEPARATORS = ("\n\n", "\n", " ", "")
@@ -64,13 +65,17 @@ def token_split(sections: DataFrame, size: int = 6000, overlap: int = 300, count
 
     All other columns are copied. A section of null or blank content gives no chunk."""
     schema = T.StructType([*sections.schema.fields, T.StructField("chunk_pos", T.LongType())])
-    names = sections.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = measure(counter)
         for b in batches:
-            cut = [split_text(t, size, overlap, count) if t else [] for t in b["content"]]
-            out = b.assign(content=cut, chunk_pos=[list(range(len(c))) for c in cut])
-            yield out.explode(["content", "chunk_pos"]).dropna(subset=["chunk_pos"]).astype({"chunk_pos": "int64"})[[*names, "chunk_pos"]]
-
-    return sections.mapInPandas(run, schema)
+            k, at = b.schema.get_field_index("content"), 0
+            for texts in slabs(b.column(k)):
+                cut = [split_text(t, size, overlap, count) if t else [] for t in texts.to_pylist()]
+                row = pa.array(at + np.repeat(np.arange(len(cut)), [len(c) for c in cut]))
+                content, pos = pa.array([x for c in cut for x in c], texts.type), pa.array([n for c in cut for n in range(len(c))], pa.int64())
+                columns = [content if i == k else column.take(row) for i, column in enumerate(b.columns)]
+                yield pa.RecordBatch.from_arrays([*columns, pos], names=[*b.schema.names, "chunk_pos"])
+                at += len(texts)
+
+    return sections.mapInArrow(run, schema)

@@ -53,3 +53,13 @@ def test_cap_and_null(spark):
     tokens, labels = plain(text, "bpe50k")
     assert (long.tokens, long.labels, long.n_tokens) == (tokens[:20], labels[:20], len(tokens))
     assert (none.tokens, none.labels, none.n_tokens) == ([], [], 0)
+
+
+def test_long_batches(spark):
+    """A batch of more text than a run holds; every row has its own labels."""
+    texts = [("w " * (k * 20_000) + OUTPUT_MARK + f"r{k}") if k % 3 else None for k in range(12)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").coalesce(1)
+    for x in prompt.token_labels(rows, "bpe50k", 1 << 30).collect():
+        own = encoding("bpe50k").encode_ordinary(texts[x.k] or "")
+        assert (x.tokens, x.n_tokens, len(x.labels)) == (own, len(own), len(own))
+        assert [t for t in x.labels if t >= 0] == encoding("bpe50k").encode_ordinary(OUTPUT_MARK + f"r{x.k}")[len(encoding("bpe50k").encode_ordinary(OUTPUT_MARK)) :] or not texts[x.k]

@@ -41,6 +41,16 @@ def test_columns_are_copied(spark):
     assert [tuple(r) for r in out] == [(1, "a b c", "x", 0), (1, "d", "x", 1)]
 
 
+def test_long_batches_and_columns_of_all_kinds(spark):
+    """Runs of a batch keep their rows' columns, null numbers and nested ones too."""
+    texts = [None, "a b c", " ", *["word " * 60_000] * 9, "", "x y z u"]
+    rows = [(k if k % 2 else None, t, [k, None], {"s": k}) for k, t in enumerate(texts)]
+    out = token_split(spark.createDataFrame(rows, "k long, content string, v array<long>, m map<string, int>").coalesce(1), 50_000, 0, "words")
+    got = sorted((r.v[0], r.k, r.m["s"], r.v[1], r.chunk_pos, len(r.content.split())) for r in out.collect())
+    want = [(k, k if k % 2 else None, k, None, n, len(c.split())) for k, t in enumerate(texts) if t for n, c in enumerate(split_text(t, 50_000, 0, words))]
+    assert got == want and len(want) == 2 + 9 * 2
+
+
 def bins(spark, counts, budget=10):
     rows = spark.createDataFrame([("f", i, n, "i", str(n)) for i, n in enumerate(counts)], "source_file string, pos long, n long, instruction string, input string")
     out = next_fit_pack(rows, budget).orderBy("id").collect()
